@@ -48,7 +48,7 @@ def prefix(spark, sf):
     return st.table(spark, sf, "events").select("event_id", strip_prefix(marked).alias("code"))
 
 
-@query("numeric_to_int", "SELECT l_orderkey, l_linenumber, CAST(l_quantity / 2 AS INTEGER) AS half, -CAST(l_quantity / 2 AS INTEGER) AS minus_half FROM lineitem")
+@query("numeric_to_int", "SELECT l_orderkey, l_linenumber, CAST(round(l_quantity / 2) AS INTEGER) AS half, CAST(round(-l_quantity / 2) AS INTEGER) AS minus_half FROM lineitem")
 def rounding(spark, sf):
     """Half quantities hit every tie; ties go away from zero."""
     half = F.col("l_quantity") / 2

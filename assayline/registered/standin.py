@@ -107,7 +107,8 @@ def measurements_of(spark: SparkSession, sf: str, kind: str) -> DataFrame:
 MEASUREMENTS = f"""measurements AS (
   SELECT l_orderkey AS sample_id, l_partkey AS param_id,
          {sql_mapped('l_returnflag', TYPES)} AS filetype,
-         {sql_mapped('CAST(l_linenumber AS VARCHAR)', {str(i + 1): r for i, r in enumerate(RESULTS)})} AS evalcode
+         {sql_mapped('CAST(l_linenumber AS VARCHAR)', {str(i + 1): r for i, r in enumerate(RESULTS)})} AS evalcode,
+         l_extendedprice AS resval, l_discount AS resloq
   FROM lineitem)"""
 
 POSITIVE = "evalcode IN ('greater than maximum permissible quantities', 'non compliant', 'unsatisfactory', 'detected')"
