@@ -16,6 +16,7 @@ from ..functions.identity import canonical_number, tuple_hash
 from ..functions.numbers import half_up_int
 from ..functions.text import blank_to_null
 from ..operators import cleaning, compare, dedup, dims, inserts, quality, reshape
+from ..session import materialise
 from ..sources.registry import AmrRegistry, Registry
 
 # Date parts in which a zero means "not given", whole table and before the
@@ -112,13 +113,16 @@ def build_samples(raw: DataFrame, registry: Registry, repairs: Sequence[Repair]
     share the identifiers is left out whole, and listed in ``rejected``.  Identifiers are
     unique per file from there on, so nulling the later date parts cannot make two rows of a
     file equal, and no second de-duplication (a full shuffle) is needed.
+
+    The distinct rows are written once: the check for repeated identifiers, and the loads of
+    core and attributes after it, read them back with only the columns they need.
     """
     df = clean_release(raw, registry, registry.sample_columns).drop(*[c for c in PLUMBING if c != "file"])
     for fix in repairs:
         if fix.column in df.columns:
             keys = [c for c in df.columns if c in registry.identifiers]
             df = dedup.repair_duplicates(df, keys, fix.id_column, fix.column, F.lit(fix.value), F.col("file") == fix.file)
-    distinct = df.dropDuplicates()
+    distinct = materialise(df.dropDuplicates(), "samples")
     good, bad = dedup.split_bad_files(distinct, registry.identifiers)
     return Loaded(cleaning.zeros_to_null(good, LATE_ZERO_COLUMNS), bad)
 

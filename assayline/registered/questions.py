@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grains
 from ..plans import analytics as an
+from ..session import materialise
 from . import standin as st
 from .registry import query
 
@@ -24,9 +25,13 @@ VIEW = f"""{STAR}, view AS (
 
 
 def _selected(spark, sf) -> DataFrame:
-    """Parameters chosen by name, with the number of entries of that name."""
+    """Parameters chosen by name, with the number of entries of that name.
+
+    Stored like a temporary table, so that its size is known when measurements are joined
+    to it: small, it is broadcast and the measurements are not shuffled by parameter.
+    """
     params = st.params(spark, sf)
-    return an.param_copies(params, an.select_params(params, "bolt"))
+    return materialise(an.param_copies(params, an.select_params(params, "bolt")), "selected-params")
 
 
 def _all_params(spark, sf) -> DataFrame:

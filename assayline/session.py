@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     # when that costs one more exchange afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JIT refuses methods above 8000 bytes of bytecode, and a stage that cleans dozens of
+    # columns generates larger ones.  Such a stage is faster with its expressions compiled
+    # one by one than fused into a method that is only interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 

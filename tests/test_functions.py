@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from assayline.functions import columns as cols
+from assayline.functions import filenames as fn
+from assayline.functions import identity, numbers, text
+
+
+@pytest.mark.parametrize("raw, want", [
+    ("\t A b ", "a b"), (None, None), ("", ""), ("  X　", "x"), ("a\tb", "a\tb"), ("É \r\n", "é"), ("\x1cq\x0b", "q"), ("  ", ""),
+])
+def test_clean_text(one, raw, want):
+    assert one(text.clean_text, raw) == want
+
+
+def test_strip_is_python_strip(spark):
+    rng = random.Random(3)
+    alphabet = text.WHITE_SPACE + "aÉ中​z"
+    words = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(8))) for _ in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.strip_text(F.col("w")).alias("s"))
+    assert all(r.s == r.w.strip() for r in df.collect())
+
+
+@pytest.mark.parametrize("raw, want", [("n_a", None), ("nan", None), ("na", "na"), (None, None), ("x", "x")])
+def test_null_sentinels(one, raw, want):
+    assert one(text.null_sentinels, raw) == want
+
+
+def test_reader_sentinels_on_request(one):
+    assert one(lambda c: text.null_sentinels(c, reader_sentinels=True), "na") is None
+
+
+@pytest.mark.parametrize("raw", ["t-2 toxin (pops) o'brien", "ab1c", "ÉLAN vital", "", "x--y", "toxins 2b"])
+def test_title_case_is_python_title(one, raw):
+    assert one(text.title_case, raw) == raw.title()
+
+
+def test_capitalise(one):
+    assert one(text.capitalise, "meat Products") == "Meat Products"
+    assert one(text.capitalise, "") == ""
+
+
+def test_strip_prefix(one):
+    assert one(text.strip_prefix, "param=rf-1") == "rf-1"
+    assert one(text.strip_prefix, "rf-1") == "rf-1"
+
+
+@pytest.mark.parametrize("raw, want", [(0.0, None), (5.0, 5.0), (None, None)])
+def test_zero_to_null(one, raw, want):
+    assert one(numbers.zero_to_null, raw, kind="double") == want
+
+
+@pytest.mark.parametrize("raw, want", [(2.5, 3), (-2.5, -3), (2.4, 2), (None, None), (1e12, None)])
+def test_half_up_int(one, raw, want):
+    assert one(numbers.half_up_int, raw, kind="double") == want
+
+
+def test_share_and_labels(one):
+    assert one(numbers.share, 1, 4, kind="int") == 0.25
+    assert one(numbers.share, 1, 0, kind="int") is None
+    assert one(numbers.percent_text, 1, 8, kind="int") == "12.50%"
+    assert one(numbers.percent_text, 0, 0, kind="int") == "0.00%"
+    assert one(numbers.thousands_text, 1234567, kind="int") == "1,234,567"
+
+
+@pytest.mark.parametrize("name, kind, year, country", [
+    ("VMPR_2017_PT.ZIP", "vmpr", 2017, "PT"),
+    ("MOPER_2011_NL.zip", "pesticides", 2011, "NL"),
+    ("OCC_2020_DE.ZIP", "chemical", 2020, "DE"),
+    ("x2019_abcdefgh.ZIP", "", 2019, "bcdefgh"),
+    ("nothing.ZIP", "", None, "nothing"),
+])
+def test_file_names(one, name, kind, year, country):
+    assert one(fn.file_type, name) == kind
+    assert one(fn.release_year, name) == year
+    assert one(fn.release_country, name) == country
+
+
+def test_amr_names(one):
+    assert one(fn.amr_year, "NL_AMR_PUB_2018.csv") == 2018
+    assert one(fn.amr_country, "NL_AMR_PUB_2018.csv") == "NL"
+
+
+def test_column_names(spark):
+    assert cols.clean_column_name("Prod Code_A") == "prod_code_a"
+    assert cols.drop_a_tags(cols.clean_column_name("Prod Code_A")) == "prod_code"
+    assert cols.drop_a_tags(cols.clean_column_name("Foo_Amount")) == "foomount"
+    with pytest.raises(ValueError, match="collide"):
+        cols.clean_columns(spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int"))
+
+
+def test_tuple_hash_separates_nulls_and_neighbours(spark):
+    tuples = [("a", None), (None, "a"), ("", "a"), ("a", ""), ("a|", "b"), ("a", "|b"), ("a\\", "|b"), ("~", None), (None, None), ("=", "~")]
+    df = spark.createDataFrame(tuples, "x string, y string").select(identity.tuple_hash([F.col("x"), F.col("y")]).alias("h"))
+    assert df.distinct().count() == len(tuples)
+
+
+def test_tuple_hash_equals_nullsafe_equality(spark):
+    rng = random.Random(5)
+    values = [None, "", "a", "|", "\\", "~", "=a"]
+    pairs = [[rng.choice(values) for _ in range(6)] for _ in range(300)]
+    df = spark.createDataFrame(pairs, "a string, b string, c string, x string, y string, z string")
+    same = identity.tuple_text(F.col(c) for c in "abc") == identity.tuple_text(F.col(c) for c in "xyz")
+    for r in df.withColumn("same", same).collect():
+        assert r.same == ((r.a, r.b, r.c) == (r.x, r.y, r.z))
+
+
+@pytest.mark.parametrize("raw, want", [("1", "1"), ("1.0", "1"), ("10", "10"), ("0", "0"), ("1.50", "1.5"), (None, None)])
+def test_canonical_number(one, raw, want):
+    assert one(identity.canonical_number, raw) == want
+
+
+def test_log_scale(spark):
+    df = spark.createDataFrame([(10,), (100,), (1000,)], "n int")
+    sized = df.select("n", numbers.log_scale_size(F.col("n"), F.lit(10), F.lit(1000)).alias("size"))
+    assert [round(r[1], 6) for r in rows(sized)] == [50.0, 225.0, 400.0]
