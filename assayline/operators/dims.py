@@ -37,16 +37,14 @@ def decode(df: DataFrame, labels: Sequence[tuple[str, DataFrame, dict[str, str]]
 
 def resolve_product(df: DataFrame, code: str, mtx: DataFrame, matrix: DataFrame, products: DataFrame, out: str = "product_id") -> DataFrame:
     """Product id of a code: looked up in the first dictionary, else in the second."""
-    first = mtx.select(F.col("termcode").alias("_mtx_code"), F.col("id").alias("mtx_id"))
-    second = matrix.select(F.col("termcode").alias("_matrix_code"), F.col("id").alias("matrix_id"))
-    by_first = first.join(products.select("mtx_id", F.col("id").alias("_first")), "mtx_id", "left").withColumn("_in_first", F.lit(True)).drop("mtx_id")
-    by_second = second.join(products.select("matrix_id", F.col("id").alias("_second")), "matrix_id", "left").drop("matrix_id")
-    return (
-        df.join(by_first, F.col(code) == F.col("_mtx_code"), "left")
-        .join(by_second, F.col(code) == F.col("_matrix_code"), "left")
-        .withColumn(out, F.when(F.col("_in_first"), F.col("_first")).otherwise(F.col("_second")))
-        .drop("_mtx_code", "_matrix_code", "_first", "_second", "_in_first")
-    )
+    # The rows are joined to one stored dictionary after the other.  Joining dictionaries to
+    # each other first would hide their sizes, since a join is estimated as a product.
+    for name, dictionary in (("mtx", mtx), ("matrix", matrix)):
+        terms = dictionary.select(F.col("termcode").alias("_code"), F.col("id").alias(f"_{name}"))
+        entries = products.select(F.col(f"{name}_id").alias("_entry"), F.col("id").alias(f"_{name}_product"))
+        df = df.join(terms, F.col(code) == F.col("_code"), "left").join(entries, F.col(f"_{name}") == F.col("_entry"), "left").drop("_code", "_entry")
+    chosen = F.when(F.col("_mtx").isNotNull(), F.col("_mtx_product")).otherwise(F.col("_matrix_product"))
+    return df.withColumn(out, chosen).drop("_mtx", "_matrix", "_mtx_product", "_matrix_product")
 
 
 def replace_by_dictionary(df: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:

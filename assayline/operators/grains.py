@@ -13,7 +13,7 @@ TOTAL, POSITIVE = "total_measurements", "positive_measurements"
 def count_measurements(df: DataFrame, keys: Sequence[str | Column], positive: Column) -> DataFrame:
     """Total and positive rows per key; null keys are groups of their own."""
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(TOTAL), F.count_if(F.coalesce(positive, F.lit(False))).alias(POSITIVE)
+        F.count(F.lit(1)).alias(TOTAL), F.count_if(positive).alias(POSITIVE)
     )
 
 
@@ -41,13 +41,12 @@ def counts_per_sample(measurements: DataFrame, positive: Column, extra: Sequence
 def grouping_grains(counts: DataFrame, always: Sequence[str], optional: Sequence[str]) -> DataFrame:
     """Counts by ``always`` alone and by ``always`` plus each one of ``optional``.
 
-    All grains come from one pass over counts that are already at their finest grain, so
-    the copies that grouping sets make are copies of few rows.  ``grain`` names the extra
-    key; columns that a grain does not use are null.
+    All grains come from one pass.  ``counts`` should already be added up by all of these
+    keys, so the copies that grouping sets make are copies of few rows.  ``grain`` names the
+    extra key; columns that a grain does not use are null.
     """
-    finest = add_up(counts, [*always, *optional])
     sets = [list(always)] + [[*always, o] for o in optional]
-    cube = finest.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in [*always, *optional]]).agg(
+    cube = counts.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in [*always, *optional]]).agg(
         F.sum(TOTAL).alias(TOTAL),
         F.sum(POSITIVE).alias(POSITIVE),
         *[F.grouping(o).alias(f"_{o}") for o in optional],

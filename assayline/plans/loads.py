@@ -160,10 +160,17 @@ def stage_sample_rest(samples: DataFrame, registry: Registry) -> DataFrame:
 
 
 def load_sample_rest(
-    samples: DataFrame, registry: Registry, core: DataFrame, attributes: DataFrame, existing: DataFrame
+    samples: DataFrame, registry: Registry, core: DataFrame, existing: DataFrame
 ) -> DataFrame:
-    """Attributes of stored samples that have none yet."""
-    return inserts.new_sample_attributes(stage_sample_rest(samples, registry), core, attributes, existing)
+    """Attributes of stored samples that have none yet.
+
+    Samples are matched while they are still one row each, and made long afterwards.
+    """
+    full = cleaning.add_missing(samples, registry.identifiers)
+    attributes = [c for c in full.columns if c in registry.rest_sample_columns]
+    hashed = full.select(sample_hash(full, registry).alias("samplehash"), *attributes)
+    matched = inserts.open_samples(hashed, core, existing)
+    return inserts.code_attributes(reshape.to_long(matched, ["sample_core_id"], attributes), registry.ids)
 
 
 class Measurements(NamedTuple):

@@ -60,13 +60,10 @@ def _present(df: DataFrame, labels, dims: dict[str, DataFrame], column: str):
 
 def _with_product(df: DataFrame, dims: dict[str, DataFrame], column: str, out: str) -> DataFrame:
     """Label of the product; a product without an entry in the product list is left out."""
-    mtx = dims["mtx"].select(F.col("id").alias("mtx_id"), F.col(column).alias("_mtx"))
-    matrix = dims["matrix"].select(F.col("id").alias("matrix_id"), F.col(column).alias("_matrix"))
-    products = (
-        dims["products"].join(mtx, "mtx_id", "left").join(matrix, "matrix_id", "left")
-        .select(F.col("id").alias("product_id"), F.coalesce("_mtx", "_matrix").alias(out))
-    )
-    return df.join(products, "product_id")
+    products = dims["products"].select(F.col("id").alias("product_id"), F.col("mtx_id").alias("_mtx_id"), F.col("matrix_id").alias("_matrix_id"))
+    known = df.join(products, "product_id")
+    both = decode(known, [("_mtx_id", dims["mtx"], {column: "_mtx"}), ("_matrix_id", dims["matrix"], {column: "_matrix"})])
+    return both.withColumn(out, F.coalesce("_mtx", "_matrix")).drop("_mtx_id", "_matrix_id", "_mtx", "_matrix")
 
 
 def sample_view(samples: DataFrame, dims: dict[str, DataFrame], column: str = NAME, product: str = "productname") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compare, dims, inserts, reshape
 from ..plans import star
+from ..session import materialise
 from ..sources.catalogues import load_catalogue, product_catalogue, union_catalogues
 from . import standin as st
 from .registry import query
@@ -20,8 +21,9 @@ def _nation_codes(spark, sf):
 
 
 def _priorities(spark, sf):
-    return st.table(spark, sf, "orders").select(
-        F.left("o_orderpriority", F.lit(1)).cast("int").alias("id"), F.lower("o_orderpriority").alias("termcode")).distinct()
+    """A dictionary is a stored table, so it is stored here too: its size is then known."""
+    return materialise(st.table(spark, sf, "orders").select(
+        F.left("o_orderpriority", F.lit(1)).cast("int").alias("id"), F.lower("o_orderpriority").alias("termcode")).distinct(), "priorities")
 
 
 @query("dict_encode", """WITH rows AS (SELECT o_orderkey, 'nation_' || (o_custkey % 25) AS country, lower(o_orderpriority) AS priority FROM orders),
@@ -50,6 +52,7 @@ def role_playing_country(spark, sf):
 def _segments(spark, sf):
     """Two product dictionaries that share a code: segments up to H, and segments from F on."""
     codes = st.table(spark, sf, "customer").select(F.ascii("c_mktsegment").alias("id"), F.lower("c_mktsegment").alias("termcode")).distinct()
+    codes = materialise(codes, "segments")
     return codes.filter("termcode < 'i'"), codes.filter("termcode > 'c'").select((F.col("id") + 1000).alias("id"), "termcode")
 
 
@@ -218,7 +221,7 @@ def sample_rest_insert(spark, sf):
     orders = st.table(spark, sf, "orders").withColumn("samplehash", F.md5(F.col("o_orderkey").cast("string")))
     staged = reshape.to_long(orders, ["samplehash"], ["o_orderstatus", "o_orderpriority", "o_custkey"])
     core = orders.filter(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")).select("samplehash", F.col("o_orderkey").alias("id"))
-    registered = spark.createDataFrame([(1, "o_orderstatus"), (2, "o_orderpriority")], "id int, columnname string")
+    registered = {"o_orderstatus": 1, "o_orderpriority": 2}
     existing = orders.filter("o_orderpriority = '2-HIGH'").select(F.col("o_orderkey").alias("sample_core_id"))
     return inserts.new_sample_attributes(staged, core, registered, existing)
 

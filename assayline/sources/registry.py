@@ -46,6 +46,11 @@ class Registry:
     def datatypes(self) -> dict[str, str]:
         return {s.name: s.datatype for s in self.specs}
 
+    @property
+    def ids(self) -> dict[str, int]:
+        """Column name -> id, in the order of registration."""
+        return {s.name: i for i, s in enumerate(self.specs, 1)}
+
     @property
     def catalogues(self) -> dict[str, str]:
         """Core sample column -> catalogue, for the columns that have one."""
@@ -76,8 +81,8 @@ class Registry:
         return self._names(lambda s: s.role == "m" and not s.core_measurement)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """The registry as a dictionary table with ids, for coding attribute names."""
-        rows = [(i, s.name, s.role, s.datatype, s.catalogue) for i, s in enumerate(self.specs, 1)]
+        """The registry as a table."""
+        rows = [(self.ids[s.name], s.name, s.role, s.datatype, s.catalogue) for s in self.specs]
         return spark.createDataFrame(rows, "id int, columnname string, sample_measurement string, datatype string, catalogue string")
 
 

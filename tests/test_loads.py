@@ -153,10 +153,10 @@ def test_attributes(spark, samples, core):
     stored = core.rows.select("samplehash", F.col("samplehash").alias("id"))
     none = spark.createDataFrame([], "sample_core_id string")
     attributes = REGISTRY.frame(spark)
-    new = loads.load_sample_rest(samples.rows, REGISTRY, stored, attributes, none)
+    new = loads.load_sample_rest(samples.rows, REGISTRY, stored, none)
     assert rows(new.join(attributes, new.column_metainfo_id == attributes.id), "columnname", "value") == [
         ("sampmattext", "a"), ("sampmattext", "text"), ("sampsizeunit", "g050a"), ("sampsizeunit", "kg"), ("sampsizeunit", "kg")]
-    assert loads.load_sample_rest(samples.rows, REGISTRY, stored, attributes, new).count() == 0
+    assert loads.load_sample_rest(samples.rows, REGISTRY, stored, new).count() == 0
 
 
 @pytest.fixture(scope="module")

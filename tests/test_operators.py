@@ -160,7 +160,7 @@ def test_measurement_rules(spark):
 def test_sample_with_an_attribute_is_closed(spark):
     staged = frame(spark, "samplehash string, variable string, value string", ("h1", "x", "1"), ("h1", "y", "2"), ("h2", "x", "3"), ("h3", "x", "4"), ("h2", "z", "5"))
     samples = frame(spark, "id int, samplehash string", (1, "h1"), (2, "h2"))
-    attributes = frame(spark, "id int, columnname string", (10, "x"), (11, "y"))
+    attributes = {"x": 10, "y": 11}
     existing = frame(spark, "sample_core_id int", (1,))
     assert rows(inserts.new_sample_attributes(staged, samples, attributes, existing)) == [(2, 10, "3")]
 
