@@ -226,14 +226,14 @@ def sample_rest_insert(spark, sf):
     return inserts.new_sample_attributes(staged, core, registered, existing)
 
 
-@query("reconstruct_wide", """SELECT l_orderkey AS sample_core_id, l_suppkey AS file_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER), strftime(l_shipdate, '%Y%m%d')) AS measurement_nr, l_extendedprice AS resval,
+@query("reconstruct_wide", """SELECT l_orderkey AS sample_core_id, l_suppkey AS file_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER), strftime(l_shipdate, '%Y%m%d'), CAST(round(l_extendedprice * 100) AS BIGINT)) AS measurement_nr, l_extendedprice AS resval,
   o_orderstatus AS status, nullif(o_orderpriority, '5-LOW') AS priority, l_linestatus AS linestatus, nullif(l_returnflag, 'N') AS returnflag
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def reconstruct_wide(spark, sf):
     """Core rows with both attribute tables pivoted back on."""
     number = F.concat_ws(
         "-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        F.col("l_quantity").cast("int").cast("string"), F.date_format("l_shipdate", "yyyyMMdd"))
+        F.col("l_quantity").cast("int").cast("string"), F.date_format("l_shipdate", "yyyyMMdd"), F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"))
     line = st.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("sample_core_id"), F.col("l_suppkey").alias("file_id"), number.alias("measurement_nr"),
         F.col("l_extendedprice").alias("resval"), F.col("l_linestatus").alias("linestatus"), F.nullif("l_returnflag", F.lit("N")).alias("returnflag"))
