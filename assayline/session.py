@@ -67,6 +67,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input over all cores when it is read by fewer tasks than there are cores.
+
+    A small table in a single row group is read by one task, which would then also do all
+    the work per row.  Large inputs have many more splits than cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 

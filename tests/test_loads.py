@@ -299,3 +299,18 @@ def test_streamed_batches_and_a_repeated_batch(spark, tmp_path):
     again = load(spark.range(5, 15).withColumnRenamed("id", "samplehash"), ingest.stored(spark, table, schema, before_batch=1))
     tables.append_batch(again, table, 1)
     assert sorted(r.samplehash for r in ingest.stored(spark, table, schema).collect()) == list(range(15))
+
+
+def test_inventories(spark, staged):
+    assert rows(releases.release_inventory(staged, 12)) == [
+        ("OCC_2018_NL.ZIP", "chemical", 2018, "NL", 12, 2), ("OCC_2019_NL.ZIP", "chemical", 2019, "NL", 12, 2),
+        ("VMPR_2017_PT.ZIP", "vmpr", 2017, "PT", 12, 3)]
+    amr = spark.createDataFrame([("NL_AMR_PUB_2018.csv",)], "release string")
+    assert rows(releases.amr_inventory(amr, 3)) == [("NL_AMR_PUB_2018.csv", "amr", 2018, "NL", 3, 1)]
+
+
+def test_exports_and_statistics(spark, tmp_path):
+    tables.export_results({"one": spark.range(2), "two": spark.range(3)}, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/two")).count() == 3
+    (tmp_path / "stat.csv").write_text("area,year,value\nnl,1999,1\nnl,2000,2\nnl,2024,3\nnl,2025,4\n")
+    assert rows(tables.read_statistics(spark, str(tmp_path / "stat.csv")), "year") == [(2000,), (2024,)]
