@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import RELEASE_RENAMES, clean_columns, rename_columns
+from ..functions.filenames import file_stem
 from ..functions.identity import canonical_number, tuple_hash
 from ..functions.numbers import half_up_int
 from ..functions.text import blank_to_null
@@ -72,7 +73,8 @@ class Loaded(NamedTuple):
 
 
 class Repair(NamedTuple):
-    """A known defect of one file: copies of a sample that differ in one column."""
+    """A known defect of one file (named without its ending): copies of a sample that differ
+    in one column."""
 
     file: str
     id_column: str
@@ -81,7 +83,7 @@ class Repair(NamedTuple):
 
 
 # Fixed value: the one file known to need a repair.
-KNOWN_REPAIRS = (Repair("vmpr_2017_pt.zip", "sampid", "sampsizeunit", "g050a"),)
+KNOWN_REPAIRS = (Repair("vmpr_2017_pt", "sampid", "sampsizeunit", "g050a"),)
 
 
 def sample_hash(df: DataFrame, registry: Registry) -> Column:
@@ -121,7 +123,7 @@ def build_samples(raw: DataFrame, registry: Registry, repairs: Sequence[Repair]
     for fix in repairs:
         if fix.column in df.columns:
             keys = [c for c in df.columns if c in registry.identifiers]
-            df = dedup.repair_duplicates(df, keys, fix.id_column, fix.column, F.lit(fix.value), F.col("file") == fix.file)
+            df = dedup.repair_duplicates(df, keys, fix.id_column, fix.column, F.lit(fix.value), file_stem(F.col("file")) == fix.file)
     distinct = materialise(df.dropDuplicates(), "samples")
     good, bad = dedup.split_bad_files(distinct, registry.identifiers)
     return Loaded(cleaning.zeros_to_null(good, LATE_ZERO_COLUMNS), bad)

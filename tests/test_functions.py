@@ -74,6 +74,8 @@ def test_share_and_labels(one):
     ("OCC_2020_DE.ZIP", "chemical", 2020, "DE"),
     ("x2019_abcdefgh.ZIP", "", 2019, "bcdefgh"),
     ("nothing.ZIP", "", None, "nothing"),
+    ("VMPR_2017_PT.csv.gz", "vmpr", 2017, "PT"),
+    ("OCC_2020_DE.csv", "chemical", 2020, "DE"),
 ])
 def test_file_names(one, name, kind, year, country):
     assert one(fn.file_type, name) == kind

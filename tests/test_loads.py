@@ -11,6 +11,7 @@ from assayline.plans import loads, star
 from assayline.sources import catalogues, registry, releases, tables
 from assayline.sources.registry import AmrColumn, AmrRegistry, ColumnSpec, Registry
 from assayline.streaming import ingest
+from assayline.streaming import releases as stream_releases
 
 REGISTRY = Registry((
     ColumnSpec("sampid", "s", "text", identifier=True, core_sample=True),
@@ -68,8 +69,7 @@ def staged(spark, folder):
 
 @pytest.fixture(scope="module")
 def samples(spark, staged):
-    repairs = [loads.Repair("vmpr_2017_pt.zip", "sampid", "sampsizeunit", "g050a")]
-    return loads.build_samples(staged, REGISTRY, repairs)
+    return loads.build_samples(staged, REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -282,8 +282,8 @@ def test_streamed_batches_and_a_repeated_batch(spark, tmp_path):
     landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "checkpoint"))
     schema = spark.range(1).select(F.col("id").alias("samplehash")).schema
 
-    def load(batch, existing):
-        return inserts.new_samples(batch.dropDuplicates(), existing)
+    def load(batch, held):
+        return inserts.new_samples(batch.select("samplehash").dropDuplicates(), held["samples"])
 
     def run():
         stream = ingest.read_stream(spark, landing, schema, max_files=1)
@@ -296,7 +296,8 @@ def test_streamed_batches_and_a_repeated_batch(spark, tmp_path):
     assert run() == list(range(15))
     assert run() == list(range(15))
     # A batch that is written again, as after a failure, replaces itself.
-    again = load(spark.range(5, 15).withColumnRenamed("id", "samplehash"), ingest.stored(spark, table, schema, before_batch=1))
+    held = {"samples": ingest.stored(spark, table, schema, before_batch=1)}
+    again = load(spark.range(5, 15).withColumnRenamed("id", "samplehash"), held)
     tables.append_batch(again, table, 1)
     assert sorted(r.samplehash for r in ingest.stored(spark, table, schema).collect()) == list(range(15))
 
@@ -314,3 +315,36 @@ def test_exports_and_statistics(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/two")).count() == 3
     (tmp_path / "stat.csv").write_text("area,year,value\nnl,1999,1\nnl,2000,2\nnl,2024,3\nnl,2025,4\n")
     assert rows(tables.read_statistics(spark, str(tmp_path / "stat.csv")), "year") == [(2000,), (2024,)]
+
+
+def test_release_stream_equals_batch_load(spark, tmp_path, folder, dictionaries, core, measurements):
+    """Files that arrive one after the other give the rows of one batch load."""
+    import shutil
+
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    landing.mkdir()
+    required = ["sampcountry_id", "product_id", "file_id"]
+    from pyspark.sql.types import StructType
+
+    schemas = {
+        "sample_core": StructType.fromDDL("samplehash string, sampid string, sampcountry_id int, product_id bigint"),
+        "sample_rest": StructType.fromDDL("sample_core_id string, column_metainfo_id int, value string"),
+        "measurement_core": StructType.fromDDL("sample_core_id string, param_id int, resid string, resval double, filetype string, measurement_nr bigint"),
+    }
+
+    def run():
+        stream = stream_releases.read_release_stream(spark, str(landing), HEADER.split(","), max_files=1)
+        loads_ = stream_releases.release_tables(root, REGISTRY, dictionaries, schemas, required)
+        ingest.load_stream(stream, loads_, str(tmp_path / "checkpoint")).awaitTermination()
+
+    for name in FILES:
+        short = name.split("/")[1].replace(".ZIP", "")
+        shutil.copy(f"{folder}/{name}", landing / short)
+        run()
+    run()  # nothing new has arrived
+
+    got = {name: ingest.stored(spark, f"{root}/{name}", schema) for name, schema in schemas.items()}
+    assert rows(got["sample_core"], "sampid", "sampcountry_id", "product_id") == rows(core.rows, "sampid", "sampcountry_id", "product_id")
+    assert rows(got["sample_rest"], "value") == [("a",), ("g050a",), ("kg",), ("kg",), ("text",)]
+    assert rows(got["measurement_core"], "resid", "resval", "measurement_nr", "filetype") == [
+        ("r1", 1.5, 1, "vmpr"), ("r1", 2.5, 1, "chemical"), ("r1", None, 3, "vmpr"), ("r2", 0.0, 2, "vmpr")]
