@@ -31,7 +31,7 @@ def strip_text(c: Column) -> Column:
     ASCII, which most cells are, get the short list.
     """
     ascii_only = F.octet_length(c) == F.char_length(c)
-    return F.when(ascii_only, F.btrim(c, F.lit(ASCII_WHITE_SPACE))).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
+    return F.btrim(c, F.when(ascii_only, F.lit(ASCII_WHITE_SPACE)).otherwise(F.lit(WHITE_SPACE)))
 
 
 def clean_text(c: Column) -> Column:

@@ -186,7 +186,8 @@ def split_measurements(numbered: DataFrame, registry: Registry, core_samples: Da
 
     ``numbered`` holds release rows with ``file``, ``file_id``, ``filetype`` and
     ``measurement_nr``.  The sample is found by hash instead of sixteen nullable columns.
-    Rows without a sample are returned apart.
+    Rows without a sample are returned apart.  The joined rows are written once, since all
+    three results come from this join of the two large tables.
     """
     wanted = [*registry.identifiers, *registry.core_measurement_columns, *registry.rest_measurement_columns]
     df = clean_release(numbered, registry, wanted, ("analysisy", "analysism", "analysisd"))
@@ -196,7 +197,7 @@ def split_measurements(numbered: DataFrame, registry: Registry, core_samples: Da
         df = cleaning.add_missing(df, [name], kind)
     hashed = df.withColumn("samplehash", sample_hash(df, registry))
     lookup = core_samples.select("samplehash", F.col("id").alias("sample_core_id"))
-    joined = hashed.join(lookup, "samplehash", "left")
+    joined = materialise(hashed.join(lookup, "samplehash", "left"), "measurements")
     matched = joined.filter(F.col("sample_core_id").isNotNull())
     core = matched.select("sample_core_id", *registry.core_measurement_columns, "file_id", "filetype", "measurement_nr")
     attributes = [c for c in registry.rest_measurement_columns if c in df.columns]
