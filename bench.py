@@ -29,10 +29,10 @@ HEADLINE = (
     # joins, reshaping, duplicates
     "sample_measurement_view", "measurement_rest_unpivot", "reconstruct_wide", "duplicate_rows", "measurement_numbers",
     # loads
-    "sample_pipeline", "measurement_pipeline", "measurement_insert", "amr_load",
+    "sample_table_load", "measurement_split", "measurement_insert", "amr_load",
 )
 # Loads are also reported as input rows per second: key -> table that is read.
-LOADS = {"sample_pipeline": "lineitem", "measurement_pipeline": "lineitem", "measurement_insert": "lineitem"}
+LOADS = {"sample_table_load": "lineitem", "measurement_split": "lineitem", "measurement_insert": "lineitem"}
 
 
 def main() -> None:
