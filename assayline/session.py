@@ -63,8 +63,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused folder for one run's intermediate table."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder for one run's intermediate table.
+
+    All folders of an application lie below its id, so they can be removed together once it
+    has ended.
+    """
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -348,3 +348,13 @@ def test_release_stream_equals_batch_load(spark, tmp_path, folder, dictionaries,
     assert rows(got["sample_rest"], "value") == [("a",), ("g050a",), ("kg",), ("kg",), ("text",)]
     assert rows(got["measurement_core"], "resid", "resval", "measurement_nr", "filetype") == [
         ("r1", 1.5, 1, "vmpr"), ("r1", 2.5, 1, "chemical"), ("r1", None, 3, "vmpr"), ("r2", 0.0, 2, "vmpr")]
+
+
+def test_odd_header_names_survive_staging(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('"Prod Code_A","Samp (Y)","x;y=z"\nA,2017,1\n')
+    staged = releases.stage_release(releases.read_release(spark, str(tmp_path)))
+    from assayline.operators import cleaning
+
+    out = cleaning.harmonise(staged, {"prod_code": "sampmatcodebasebuilding"}, keep=loads.PLUMBING)
+    assert out.columns[:3] == ["sampmatcodebasebuilding", "samp_y", "xyz"]
+    assert rows(out, "sampmatcodebasebuilding", "samp_y") == [("A", "2017")]
