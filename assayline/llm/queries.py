@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe
-from .frames import table
+from assayline import session
+
+from . import bitplanes, bpe, bytecnn, contamination, repetition, tokens
+from .frames import held_out, table
 from .registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -18,3 +20,42 @@ def byte_bpe(spark, sf_dir):
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
     decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
     return decoded.select("doc_id", "n_tokens", bpe.digest(F.col("token_ids")).alias("ids_sha256"), bpe.digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+@register("op5_repetition")
+def repeated_text(spark, sf_dir):
+    judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words", "longest_repeat",
+    )
+
+
+#: Below this probability a document counts as bad.
+QUALITY = 0.3
+
+
+@register("op9_quality")
+def quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = bytecnn.fit_on(documents, table(spark, sf_dir, "labels"))
+    scored = bytecnn.score(documents, net)
+    return scored.select("doc_id", held_out(0).alias("held_out"), "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
+
+
+@register("op8_bit_planes")
+def bit_planes(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    in_order = bitplanes.ordered(documents, "doc_id", F.xxhash64("text"))
+    ids = tokens.encode(in_order, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    path = session.scratch(spark, "token-ids")
+    bitplanes.write(ids, path)
+    return bitplanes.summary(spark, path)
+
+
+@register("op10_decontamination")
+def decontamination(spark, sf_dir):
+    found = contamination.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
