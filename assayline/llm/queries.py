@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from assayline import session
 
-from . import bitplanes, bpe, bytecnn, contamination, repetition, tokens
-from .frames import held_out, table
+from . import bitplanes, bpe, bytecnn, contamination, pii, repetition, simhash, tokens
+from .frames import held_out, stage, table
 from .registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,15 @@ def byte_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", bpe.digest(F.col("token_ids")).alias("ids_sha256"), bpe.digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+@register("op4_personal_data")
+def personal_data(spark, sf_dir):
+    found = pii.judge(pii.located(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return found.select(
+        "doc_id", *[pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @register("op5_repetition")
 def repeated_text(spark, sf_dir):
     judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -42,6 +51,12 @@ def quality(spark, sf_dir):
     return scored.select("doc_id", held_out(0).alias("held_out"), "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
 
 
+@register("op7_simhash")
+def near_duplicates(spark, sf_dir):
+    prints = stage(simhash.with_fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "documents")
+    return prints.join(simhash.groups(prints), "fingerprint").select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 @register("op8_bit_planes")
 def bit_planes(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
