@@ -45,7 +45,10 @@ CUES = {
     "card": r"(?i)\b(?:card|visa|credit|payment|account|pay)\b", "phone": r"(?i)\b(?:call|phone|tel|telephone|mobile|fax|cell|contact|dial)\b",
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+#: What the exact phone pattern asks for; the trees see the number without it.
+COUNTRY = r"^(?:\+\x20?|00)?(?:[0-9]{1,3}[\x20.-]{1,2})?(?=\(?[0-9]{3}\)?[\x20./-]{0,2}[0-9]{3}[\x20./-]{1,2}[0-9]{4}$)"
 CONTEXT_CHARS = 24
+BLOCK = 256
 
 #: Features and their largest values; the product bounds the rows that reach the driver.
 FEATURES = {"digits": 20, "groups": 8, "cue": 1, "before": 2, "after": 2, "marks": 7}
@@ -56,25 +59,61 @@ PRECISION = 0.9
 LEAST_SEEN = 20
 
 
-def matches(text: Column, kind: int, pattern: str) -> Column:
-    """All matches of a pattern, leftmost and without overlap, with code-point positions and context.
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used and in whatever lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    The text between matches and the matches are two arrays of the same scan; adding up their
-    lengths gives the positions.
+
+def running_sums(sizes: Column) -> Column:
+    """For each element the sum of those before it, in blocks, so that appending stays cheap."""
+
+    def walk(numbers: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(numbers, start, lambda s, x: F.struct((s.at + x).alias("at"), F.array_append(s.out, s.at).alias("out")))
+
+    def blocks(numbers: Column) -> Column:
+        last = F.floor(F.greatest(F.size(numbers) - 1, F.lit(0)) / BLOCK).cast("int")
+        return F.transform(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(numbers, b * BLOCK + 1, F.lit(BLOCK))), walk)
+
+    def joined(inner: Column) -> Column:
+        before = walk(F.transform(inner, lambda x: x.at)).out
+        return F.flatten(F.zip_with(inner, before, lambda x, b: F.transform(x.out, lambda o: o + b)))
+
+    return bound(sizes, lambda numbers: bound(blocks(numbers), joined))
+
+
+def parts(text: Column, pattern: str) -> Column:
+    """What stands before each leftmost match without overlap, the match, and what follows it.
+
+    The last element has no match.  Both arrays come from the same search.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    parts = F.arrays_zip(between.alias("gap"), found.alias("body"), F.slice(between, F.lit(2), F.lit(2**31 - 1)).alias("next"))
-    parts = F.filter(F.transform(parts, lambda p: F.struct(p["0"].alias("gap"), p["1"].alias("body"), p["2"].alias("next"))), lambda p: p.body.isNotNull())
-    empty = F.array().cast("array<struct<kind:int,start:bigint,stop:bigint,body:string,before:string,after:string>>")
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.arrays_zip(between.alias("gap"), found.alias("body"), F.slice(between, F.lit(2), F.lit(2**31 - 1)).alias("next"))
+
+
+def matches(text: Column, pattern: str, use) -> Column:
+    """``use(start, stop, body, before, after)`` of every match; positions are code points."""
+
+    def placed(found: Column) -> Column:
+        begins = running_sums(F.transform(found, lambda p: (F.length(p.gap) + F.length(p.body)).cast("bigint")))
+
+        def one(p: Column, begin: Column) -> Column:
+            start = begin + F.length(p.gap)
+            return use(start, start + F.length(p.body), p.body, F.right(p.gap, F.lit(CONTEXT_CHARS)), F.left(p.next, F.lit(1)))
+
+        return F.zip_with(found, begins, one)
+
+    return bound(F.filter(parts(text, pattern), lambda p: p.body.isNotNull()), placed)
+
 
-    def walk(state, p):
-        begin = state.at + F.length(p.gap)
-        end = begin + F.length(p.body)
-        one = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("stop"), p.body.alias("body"), F.right(p.gap, F.lit(CONTEXT_CHARS)).alias("before"), F.left(p.next, F.lit(1)).alias("after"))
-        return F.struct(end.alias("at"), F.array_append(state.out, one).alias("out"))
+def blanked(text: Column, kind: str) -> Column:
+    """The text with its base spans of a kind turned into as many zero characters."""
 
-    return F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")), walk, lambda state: state.out)
+    def one(p: Column) -> Column:
+        return F.concat(p.gap, F.when(p.body.isNull(), "").when(_valid(kind, p.body), F.repeat(F.lit("\0"), F.length(p.body))).otherwise(p.body))
+
+    return F.when(text.rlike(NEED[kind]), F.array_join(F.transform(parts(text, EXACT[kind]), one), "")).otherwise(text)
 
 
 def _digits(body: Column) -> Column:
@@ -104,21 +143,6 @@ def _valid(kind: str, body: Column) -> Column:
     return F.lit(True)
 
 
-def _guarded(text: Column, kind: str, made: Column) -> Column:
-    none = F.array().cast("array<struct<kind:int,start:bigint,stop:bigint,body:string,before:string,after:string>>")
-    return F.when(text.rlike(NEED[kind]), made).otherwise(none)
-
-
-def exact(text: Column) -> Column:
-    """Base spans of all kinds, by kind and start, as an array of structs."""
-
-    def of(number: int, kind: str) -> Column:
-        valid = F.filter(_guarded(text, kind, matches(text, number, EXACT[kind])), lambda m: _valid(kind, m.body))
-        return F.transform(valid, lambda m: F.struct(m.kind.alias("kind"), m.start.alias("start"), m.stop.alias("stop")))
-
-    return F.concat(*[of(i, k) for i, k in enumerate(KINDS)])
-
-
 def _possible(kind: str, body: Column) -> Column:
     """Whether a candidate can be what it looks like."""
     digits = _digits(body)
@@ -131,80 +155,53 @@ def _possible(kind: str, body: Column) -> Column:
     return F.length(digits).between(10, 13) & F.right(digits, F.lit(10)).rlike("^[2-9]")
 
 
-def _features(m: Column, kind: str) -> list[Column]:
+def _features(kind: str, body: Column, preceding: Column, following: Column) -> list[Column]:
     """Whole numbers from 0 to the sizes in FEATURES."""
-    digits = F.length(_digits(m.body))
+    body = F.regexp_replace(body, COUNTRY, "") if kind == "phone" else body
+    digits = F.length(_digits(body))
 
     def place(c):
         return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike(r"^[\p{L}\p{N}]$"), 2).otherwise(1)
 
-    marks = F.when(m.body.rlike(r"[()\[\]]"), 1).otherwise(0) + F.when(m.body.rlike(r"\x20"), 2).otherwise(0) + F.when(m.body.rlike(r"[-_/]"), 4).otherwise(0)
+    marks = F.when(body.rlike(r"[()\[\]]"), 1).otherwise(0) + F.when(body.rlike(r"\x20"), 2).otherwise(0) + F.when(body.rlike(r"[-_/]"), 4).otherwise(0)
     return [
-        F.least(digits, F.lit(20)).alias("digits"), F.least(F.size(F.split(m.body, "[^A-Za-z0-9]+")), F.lit(8)).alias("groups"),
-        m.before.rlike(CUES[kind]).cast("int").alias("cue"), place(F.right(m.before, F.lit(1))).alias("before"), place(m.after).alias("after"),
+        F.least(digits, F.lit(20)).alias("digits"), F.least(F.size(F.split(body, "[^A-Za-z0-9]+")), F.lit(8)).alias("groups"),
+        preceding.rlike(CUES[kind]).cast("int").alias("cue"), place(F.right(preceding, F.lit(1))).alias("before"), place(following).alias("after"),
         marks.alias("marks"),
     ]
 
 
 def candidates(text: Column) -> Column:
-    """Spans of the wide patterns with their features."""
+    """All candidates of a text: the base spans by kind and start, then those of the wide patterns.
 
-    def of(number: int, kind: str) -> Column:
-        return F.transform(
-            _guarded(text, kind, matches(text, number, WIDE[kind])),
-            lambda m: F.struct(m.start.alias("start"), m.stop.alias("stop"), m.kind.alias("kind"), _possible(kind, m.body).alias("possible"), *_features(m, kind)),
-        )
+    The verdict is 1 for base spans, 0 for what cannot be what it looks like and null for the rest.
+    The wide patterns search the text without its base spans, so nothing is proposed twice.
+    """
+    kind_of = "struct<start:bigint,stop:bigint,kind:int,verdict:int," + ",".join(f"{f}:int" for f in FEATURES) + ">"
+    none = F.array().cast(f"array<{kind_of}>")
 
-    return F.concat(*[of(i, k) for i, k in enumerate(KINDS)])
+    def of(where: Column, kind: str, patterns: dict[str, str], verdict) -> Column:
+        def one(start, stop, body, before, after):
+            return F.struct(start.alias("start"), stop.alias("stop"), F.lit(KINDS.index(kind)).alias("kind"), verdict(kind, body).cast("int").alias("verdict"), *_features(kind, body, before, after)).cast(kind_of)
 
+        return F.when(where.rlike(NEED[kind]), matches(where, patterns[kind], one)).otherwise(none)
 
-def marked(spans: Column, others: Column, fields: list[str], name: str) -> Column:
-    """Spans with ``name``: whether one of ``others`` overlaps them.
+    def every(whole: Column) -> Column:
+        exact = [F.filter(of(whole, k, EXACT, lambda kind, body: F.when(_valid(kind, body), 1)), lambda c: c.verdict == 1) for k in KINDS]
+        rest = reduce(lambda t, k: bound(t, lambda x: blanked(x, k)), KINDS, whole)
+        wide = bound(rest, lambda t: F.concat(*[of(t, k, WIDE, lambda kind, body: F.when(~_possible(kind, body), 0)) for k in KINDS]))
+        return F.concat(*exact, wide)
 
-    Both are sorted together and walked once each way, with the furthest end and the nearest start
-    of the others so far, so that the work does not grow with their product.
-    """
-    both = F.array_sort(F.concat(
-        F.transform(spans, lambda s: F.struct(s.start.alias("start"), s.stop.alias("stop"), F.struct(*[s[f].alias(f) for f in fields]).alias("own"))),
-        F.transform(others, lambda o: F.struct(o.start.alias("start"), o.stop.alias("stop"), F.lit(None).alias("own"))),
-    ))
-    forward = F.aggregate(
-        F.transform(both, lambda x: F.struct(x.start.alias("start"), x.stop.alias("stop"), x.own.alias("own"), F.lit(False).alias("hit"))),
-        F.struct(F.lit(0).cast("bigint").alias("reach"), F.filter(F.transform(both, lambda x: F.struct(x.start.alias("start"), x.stop.alias("stop"), x.own.alias("own"), F.lit(False).alias("hit"))), lambda x: F.lit(False)).alias("out")),
-        lambda state, x: F.struct(
-            F.when(x.own.isNull(), F.greatest(state.reach, x.stop)).otherwise(state.reach).alias("reach"),
-            F.array_append(state.out, F.struct(x.start.alias("start"), x.stop.alias("stop"), x.own.alias("own"), (x.start < state.reach).alias("hit"))).alias("out"),
-        ),
-        lambda state: F.reverse(state.out),
-    )
-    backward = F.aggregate(
-        forward,
-        F.struct(F.lit(2**62).cast("bigint").alias("near"), F.filter(forward, lambda x: F.lit(False)).alias("out")),
-        lambda state, x: F.struct(
-            F.when(x.own.isNull(), F.least(state.near, x.start)).otherwise(state.near).alias("near"),
-            F.array_append(state.out, F.struct(x.start.alias("start"), x.stop.alias("stop"), x.own.alias("own"), (x.hit | (state.near < x.stop)).alias("hit"))).alias("out"),
-        ),
-        lambda state: F.reverse(state.out),
-    )
-    return F.transform(F.filter(backward, lambda x: x.own.isNotNull()), lambda x: F.struct(*[x.own[f].alias(f) for f in fields], x.hit.alias(name)))
+    return F.when(text.rlike("|".join(dict.fromkeys(NEED.values()))), bound(text, every)).otherwise(none)
 
 
 def located(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``base`` (spans) and ``candidates`` (spans, features and a ``verdict``: 1 good, 0 bad, null unknown).
+    """Add ``candidates`` and ``aside`` (whether the row is kept for the thresholds; copies are on one side).
 
     Texts are read once; the result is a written table, on which the rest works.
     """
     body = text_or_empty(text)
-    found = stage(df.withColumns({"base": exact(body), "candidates": candidates(body)}), "candidates")
-    fields = ["start", "stop", "kind", "possible", *FEATURES]
-
-    def of(column: str, kind: int) -> Column:
-        return F.filter(column, lambda s: s.kind == kind)
-
-    found = found.withColumn("candidates", F.concat(*[marked(of("candidates", k), of("base", k), fields, "good") for k in range(len(KINDS))]))
-    found = found.withColumn("candidates", marked(F.col("candidates"), F.col("base"), [*fields, "good"], "taken"))
-    verdict = lambda c: F.when(c.good, 1).when(~c.possible, 0)
-    return found.withColumn("candidates", F.transform("candidates", lambda c: F.struct(*[c[f].alias(f) for f in [*fields, "taken"]], verdict(c).alias("verdict"))))
+    return stage(df.withColumns({"candidates": candidates(body), "aside": F.pmod(F.xxhash64(body), F.lit(4)) == 0}), "candidates")
 
 
 def grow(rows: list[tuple[tuple[int, ...], int, float]]) -> list[tuple]:
@@ -288,38 +285,28 @@ def thresholds(rows: list[tuple[tuple[int, ...], int, float]], trees: list[tuple
 
 
 def judge(found: DataFrame) -> DataFrame:
-    """Add ``spans``, base and added ones by kind and start, to what ``located`` gives.
+    """Add ``base`` and ``spans``, base and added ones by kind and start, to what ``located`` gives.
 
     One row per distinct combination of features, verdict and half of the rows reaches the driver;
-    there are at most some 400,000, whatever the input.  Of added spans that overlap each other the
-    leftmost stays, of those the one with the higher score.
+    there are at most some 400,000, whatever the input.  Spans of one kind do not overlap.
     """
-    aside = F.pmod(F.xxhash64("base", "candidates.start"), F.lit(4)) == 0
-    one = found.select(aside.alias("aside"), F.explode("candidates").alias("c")).where("c.verdict is not null")
+    one = found.select("aside", F.explode("candidates").alias("c")).where("c.verdict is not null")
     counts = one.groupBy("aside", "c.verdict", "c.kind", *[f"c.{f}" for f in FEATURES]).count().collect()
     rows = {side: sorted(((r.kind, *[r[f] for f in FEATURES]), r.verdict, float(r["count"])) for r in counts if r.aside == side) for side in (False, True)}
     trees = grow(rows[False])
     limits = thresholds(rows[True], trees)
 
-    def scored(c):
+    def enough(c: Column) -> Column:
         features = [c.kind, *[c[f] for f in FEATURES]]
         score = reduce(lambda a, t: a + _expression(t, features), trees, F.lit(0.0))
-        return F.struct(c.start.alias("start"), (-score).alias("rank"), c.stop.alias("stop"), c.kind.alias("kind"))
-
-    def enough(c):
-        return reduce(lambda a, k: a.when(c.kind == k, -c["rank"] >= limits[k]), limits, F.when(F.lit(False), False)).otherwise(False)
-
-    open_ = F.filter("candidates", lambda c: c.verdict.isNull() & ~c.taken)
-    picked = F.array_sort(F.filter(F.transform(open_, scored), enough))
-    none = F.array().cast("array<struct<kind:int,start:bigint,stop:bigint>>")
-    added = F.aggregate(
-        picked, F.struct(F.lit(0).cast("bigint").alias("reach"), none.alias("out")),
-        lambda state, c: F.when(c.start < state.reach, state).otherwise(
-            F.struct(c.stop.alias("reach"), F.array_append(state.out, F.struct(c.kind.alias("kind"), c.start.alias("start"), c.stop.alias("stop"))).alias("out"))
-        ),
-        lambda state: state.out,
-    )
-    return found.withColumn("spans", F.array_sort(F.concat("base", added)))
+        return reduce(lambda a, k: a.when(c.kind == k, score >= limits[k]), limits, F.when(F.lit(False), False)).otherwise(False)
+
+    def plain(spans: Column) -> Column:
+        return F.transform(spans, lambda c: F.struct(c.kind.alias("kind"), c.start.alias("start"), c.stop.alias("stop")))
+
+    base = plain(F.filter("candidates", lambda c: c.verdict == 1))
+    picked = F.filter("candidates", lambda c: (c.verdict == 1) | (c.verdict.isNull() & enough(c)))
+    return found.withColumns({"base": base, "spans": F.array_sort(plain(picked))})
 
 
 def listed(spans: Column) -> Column:
@@ -352,7 +339,7 @@ def find(df: DataFrame, text: str = "text") -> DataFrame:
 
     Null texts have none.  Repeated rows get the same spans.  Columns of these names give way.
     """
-    return judge(located(df.drop("base", "candidates", "spans"), text)).drop("candidates")
+    return judge(located(df.drop("base", "candidates", "aside", "spans"), text)).drop("candidates", "aside")
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:

@@ -4,7 +4,6 @@ import hashlib
 import random
 import re
 
-import pytest
 from llm.fixtures import documents, folder
 
 from assayline.llm import pii, queries
@@ -72,9 +71,9 @@ def test_query(spark, tmp_path):
 
 
 def test_trees_add_what_looks_like_the_known_ones(spark):
-    bad = [f"part ({a}) 055-{1000 + a} of it" for a in range(100, 160)]
+    bad = [f"part (1{a % 100:02}) 155-{1000 + a} of it" for a in range(100, 160)]
     extra = ["please call (456) 555-2186 today", "please mail nobody at all", "host 300.1.1.1 is none", "your host 10.1.1.1 is one"]
-    texts = corpus() + [t.replace("(", "(0").replace("0", "1", 1) for t in bad] + extra
+    texts = corpus() + bad + extra
     found = pii.find(documents(spark, texts)).orderBy("doc_id").collect()[-4:]
     cut = [[(pii.KINDS[s.kind], extra[i][s.start : s.stop]) for s in r.spans] for i, r in enumerate(found)]
     assert cut == [[("phone", "(456) 555-2186")], [], [], [("ip", "10.1.1.1")]]
@@ -91,14 +90,11 @@ def test_redaction_keeps_everything_else(spark):
     assert [tuple(r) for r in pii.redact(df).orderBy("doc_id").collect()] == [(1, "é [EMAIL], [IP]!", "x", 3), (2, None, "y", 4), (3, "clean", "z", 5)]
 
 
-def test_overlaps_are_found_both_ways(spark):
-    rng = random.Random(5)
-    span = lambda: (lambda a: (a, a + rng.randint(1, 6)))(rng.randint(0, 40))
-    rows = [([span() for _ in range(rng.randint(0, 6))], [span() for _ in range(rng.randint(0, 6))]) for _ in range(60)]
-    df = spark.createDataFrame(rows, "spans array<struct<start:bigint,stop:bigint>>, others array<struct<start:bigint,stop:bigint>>")
-    for r in df.select("*", pii.marked(df.spans, df.others, ["start", "stop"], "hit").alias("out")).collect():
-        want = sorted((a, b, any(x < b and a < y for x, y in r.others)) for a, b in r.spans)
-        assert sorted(map(tuple, r.out)) == want
+def test_running_sums(spark):
+    rows = [(list(range(n)),) for n in (0, 1, 2, 255, 256, 257, 513, 1000)]
+    df = spark.createDataFrame(rows, "x array<bigint>")
+    for r in df.select("x", pii.running_sums(df.x).alias("y")).collect():
+        assert r.y == [sum(r.x[:i]) for i in range(len(r.x))]
 
 
 def test_trees_separate_and_thresholds_hold_back():
@@ -109,6 +105,6 @@ def test_trees_separate_and_thresholds_hold_back():
     assert pii.thresholds(rows[:5], trees) == {} and pii.grow([]) == []
 
 
-@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "1." * 100_000, "+" + "1 " * 100_000, "(" * 100_000])
-def test_long_runs_take_linear_time(spark, text):
-    assert pii.find(documents(spark, [text])).count() == 1
+def test_long_runs_take_linear_time(spark):
+    texts = ["a" * 100_000, "1" * 100_000, "1." * 50_000, "+" + "1 " * 50_000, "(" * 100_000, "a@b.c " * 20_000]
+    assert [len(r.base) for r in pii.find(documents(spark, texts)).orderBy("doc_id").collect()] == [0, 0, 12_500, 0, 0, 20_000]
