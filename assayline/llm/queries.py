@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayline import session
 
-from . import bitplanes, bpe, bytecnn, contamination, pii, repetition, simhash, tokens
+from . import bitplanes, bpe, bytecnn, contamination, pii, repetition, simhash, sitetree, tokens
 from .frames import held_out, stage, table
 from .registry import ORACLES, QUERIES, register
 
@@ -22,6 +22,12 @@ def byte_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", bpe.digest(F.col("token_ids")).alias("ids_sha256"), bpe.digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+@register("op2_site_tree")
+def main_text(spark, sf_dir):
+    found = sitetree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @register("op4_personal_data")
 def personal_data(spark, sf_dir):
     found = pii.judge(pii.located(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
