@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayline import session
 
-from . import bitplanes, bpe, bytecnn, contamination, pii, repetition, simhash, sitetree, tokens
+from . import bitplanes, bpe, bytecnn, contamination, paragraphs, pii, repetition, simhash, sitetree, tokens
 from .frames import held_out, stage, table
 from .registry import ORACLES, QUERIES, register
 
@@ -57,6 +57,11 @@ def quality(spark, sf_dir):
     return scored.select("doc_id", held_out(0).alias("held_out"), "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
 
 
+@register("op6_paragraphs")
+def repeated_paragraphs(spark, sf_dir):
+    return paragraphs.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op7_simhash")
 def near_duplicates(spark, sf_dir):
     prints = stage(simhash.with_fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "documents")
