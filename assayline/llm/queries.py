@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayline import session
 
-from . import bitplanes, bpe, bytecnn, contamination, paragraphs, pii, repetition, simhash, sitetree, tokens
+from . import bitplanes, bpe, bytecnn, contamination, interpolation, paragraphs, pii, repetition, simhash, sitetree, tokens
 from .frames import held_out, stage, table
 from .registry import ORACLES, QUERIES, register
 
@@ -28,6 +28,11 @@ def main_text(spark, sf_dir):
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@register("op3_interpolation")
+def language_model(spark, sf_dir):
+    return interpolation.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op4_personal_data")
 def personal_data(spark, sf_dir):
     found = pii.judge(pii.located(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
