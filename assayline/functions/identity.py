@@ -9,9 +9,24 @@ from pyspark.sql import functions as F
 
 
 def canonical_number(c: Column) -> Column:
-    """The same text for 1, 1.0 and '1.0', so that a key does not depend on the type read."""
-    plain = c.try_cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(plain, r"\.?0+$", "")
+    """The same text for 1, 1.0, '1.0' and '1E0', so that a key does not depend on the type read.
+
+    Plain numbers are only stripped of what does not count, so neither scale nor precision is
+    limited.  Numbers with an exponent, as doubles are spelled when large or small, are spelled
+    out where 38 digits hold them and keep their text elsewhere.  What is no number becomes null.
+    """
+    text = F.trim(c.cast("string"))
+    number = F.when(text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"), text).when(
+        text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$"),
+        F.coalesce(
+            F.when(F.abs(text.try_cast("double")) >= 1, text.try_cast("decimal(38,10)").cast("string")),
+            F.nullif(text.try_cast("decimal(38,37)").cast("string"), F.lit("0." + "0" * 37)),
+            F.when(text.try_cast("double") == 0, "0"), text,
+        ),
+    )
+    bare = F.regexp_replace(F.regexp_replace(number, r"^\+?(-?)0*(?=[0-9.])", "$1"), r"\.0*$|(\.[0-9]*[1-9])0+$", "$1")
+    led = F.when(bare.rlike(r"^-?(?:\.|$)"), F.concat(F.when(bare.startswith("-"), "-0").otherwise("0"), F.ltrim(bare, F.lit("-")))).otherwise(bare)
+    return F.when(led == "-0", "0").otherwise(led)
 
 
 def tuple_text(columns: Iterable[Column]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql.types import DoubleType, IntegralType, NullType, StringType
 
 from ..functions.columns import clean_columns, rename_columns
 from ..functions.numbers import zero_to_null
-from ..functions.text import clean_text, null_sentinels
+from ..functions.text import blank_to_null, clean_text, null_sentinels
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -33,6 +33,11 @@ def null_sentinel_cells(df: DataFrame, skip: Sequence[str] = (), reader_sentinel
     return _replace(df, set(string_columns(df)) - set(skip), lambda c: null_sentinels(c, reader_sentinels))
 
 
+def blank_cells_to_null(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
+    """Null for empty texts, as a bulk load would store them."""
+    return _replace(df, set(string_columns(df)) - set(skip), blank_to_null)
+
+
 def zeros_to_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Null for zeros in the named columns; names that are not present are skipped."""
     return _replace(df, [c for c in columns if c in df.columns], zero_to_null)

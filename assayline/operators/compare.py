@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from ..functions.identity import tuple_hash
+from ..functions.identity import canonical_number, tuple_hash
 from .reshape import to_wide
 
 
@@ -16,11 +17,19 @@ def nullsafe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
 
     Keeps the keys of the left side.
     """
-    a = left.withColumn("_key", tuple_hash(F.col(c) for c in keys))
-    b = right.withColumn("_key", tuple_hash(F.col(c) for c in keys)).drop(*keys)
+    a = left.withColumn("_key", tuple_hash(_aligned(left, right, c) for c in keys))
+    b = right.withColumn("_key", tuple_hash(_aligned(right, left, c) for c in keys)).drop(*keys)
     return a.join(b, "_key", how).drop("_key")
 
 
+def _aligned(mine: DataFrame, other: DataFrame, name: str) -> Column:
+    """A key column in the form in which both sides spell equal values alike: numbers of two types as plain digits."""
+    kinds = [df.schema[name].dataType for df in (mine, other)]
+    if kinds[0] != kinds[1] and all(isinstance(k, NumericType) for k in kinds):
+        return canonical_number(F.col(name))
+    return F.col(name)
+
+
 def column_set_diff(spark, left: Sequence[str], right: Sequence[str], left_name: str = "original", right_name: str = "warehouse") -> DataFrame:
     """Column names that only one side has.  Works on two schemas, not on rows."""
     rows = [(c, left_name) for c in left if c not in set(right)] + [(c, right_name) for c in right if c not in set(left)]

@@ -9,12 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More rules than this are not a hand-kept list; they would have to be joined as data.
-MAX_RULES = 10_000
-
 
 def encode(df: DataFrame, codes: Sequence[tuple[str, DataFrame, str]], key: str = "termcode") -> DataFrame:
     """Replace codes by dictionary ids: ``(code column, dictionary, id column)`` per code.
@@ -102,20 +99,28 @@ def product_names(products: DataFrame, mtx: DataFrame, matrix: DataFrame, mtx_co
     )
 
 
-def load_rules(rules: DataFrame, item: str, category: str, order: str) -> list[tuple[str, str]]:
-    """Read an ordered rule list as configuration; too long a list is refused, not cut."""
-    rows = rules.select(item, category, order).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    merged: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: r[order]):
-        merged[r[item].strip().lower()] = r[category].strip()
-    return list(merged.items())
+def ordered_rules(rules: DataFrame, item: str, category: str, order: str) -> DataFrame:
+    """Rules as ``item, category, ordinal``, one per item: stripped, items in lower case.
+
+    An item listed twice keeps its first place and takes its last category.
+    """
+    named = rules.select(F.lower(F.trim(item)).alias("item"), F.trim(category).alias("category"), F.col(order).alias("ordinal"))
+    return named.where("item is not null").groupBy("item").agg(
+        F.max_by("category", "ordinal").alias("category"), F.min("ordinal").alias("ordinal")
+    )
+
 
+def first_matching_category(df: DataFrame, label: str, rules: DataFrame, out: str = "category") -> DataFrame:
+    """Add the category of the first rule whose item is contained in the label, else the label.
 
-def first_matching_category(label: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Category of the first rule whose item is contained in the label, else the label."""
-    lowered = F.lower(label)
-    table = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(c).alias("category")) for i, c in rules])
-    hit = F.get(F.filter(table, lambda r: F.contains(lowered, r["item"])), F.lit(0))
-    return F.coalesce(hit["category"], label)
+    The distinct labels are cut into their substrings of the lengths that occur among the
+    items, which are then looked up: an equi-join, whatever the number of rules.
+    """
+    lengths = rules.agg(F.collect_set(F.length("item")).alias("n")).select("n").scalar()
+    labels = df.select(F.col(label).alias("_label")).where("_label is not null").distinct()
+    sized = labels.select("_label", F.explode(lengths).alias("_n")).where(F.length("_label") >= F.col("_n"))
+    starts = sized.select("_label", "_n", F.explode(F.sequence(F.lit(1), F.length("_label") - F.col("_n") + 1)).alias("_at"))
+    cut = starts.select("_label", F.substr(F.lower("_label"), F.col("_at"), F.col("_n")).alias("item")).distinct()
+    found = cut.join(rules, "item").groupBy("_label").agg(F.min_by("category", "ordinal").alias("_category"))
+    joined = df.join(found, F.col(label) == F.col("_label"), "left")
+    return joined.withColumn(out, F.coalesce("_category", F.col(label))).drop("_label", "_category")

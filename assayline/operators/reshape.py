@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 
 def to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "variable", value: str = "value") -> DataFrame:
-    """One row per non-null cell; every value becomes text."""
+    """One row per non-null cell; every value becomes text.  Without columns there are no rows."""
+    if not columns:
+        return df.select(*ids, F.lit("").alias(name), F.lit("").alias(value)).where("false")
     cells = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in columns])
     return cells.unpivot(list(ids), list(columns), name, value).filter(F.col(value).isNotNull())
 
 
 def to_wide(long: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "columnname", value: str = "value") -> DataFrame:
-    """One column per attribute.  The list of attributes is given, which saves a job to find it."""
-    return long.groupBy(*ids).pivot(name, list(columns)).agg(F.first(value, ignorenulls=True))
+    """One column per attribute.  The list of attributes is given, which saves a job to find it.
+
+    Of a cell that is given more than once the least value is taken; ``conflicting_cells``
+    lists such cells.
+    """
+    return long.groupBy(*ids).pivot(name, list(columns)).agg(F.min(value))
 
 
 def conflicting_cells(long: DataFrame, ids: Sequence[str], name: str = "columnname") -> DataFrame:
@@ -29,7 +35,6 @@ def sums_by_label(label: str, labels: Sequence[str], measure: Column) -> list[Co
     return [F.coalesce(F.sum(F.when(F.col(label) == x, measure)), F.lit(0)).alias(x) for x in labels]
 
 
-def levels(df: DataFrame, path_col: str, depth: int, sep: str = "::", prefix: str = "lev") -> DataFrame:
-    """Split a path into a fixed number of level columns; levels beyond its end are null."""
-    parts = F.split(F.col(path_col), sep)
-    return df.withColumns({f"{prefix}{i + 1}": F.get(parts, F.lit(i)) for i in range(depth)})
+def level(path_col: str, number: int, sep: str = "::") -> Column:
+    """One level of a path, counted from 1, at whatever depth; null beyond the end of the path."""
+    return F.get(F.split(F.col(path_col), sep), F.lit(number - 1))

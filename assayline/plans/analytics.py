@@ -21,7 +21,7 @@ from ..functions.text import capitalise, title_case
 from ..operators import grains, product_rules, ranking
 from ..operators.dims import first_matching_category
 from ..operators.grains import POSITIVE, TOTAL
-from ..operators.reshape import levels, sums_by_label
+from ..operators.reshape import level, sums_by_label
 
 # Evaluation results that count as positive.
 POSITIVE_RESULTS = (
@@ -140,15 +140,15 @@ def param_totals(measurements: DataFrame, params: DataFrame, positive: Column, p
 # --- categories -----------------------------------------------------------------------
 
 
-def with_category(totals: DataFrame, depth: int) -> DataFrame:
-    """Levels of the hierarchy, and the category: the third level of nutrients, else the first."""
-    split = levels(totals, "full_name", depth)
-    return split.withColumn("category", F.when(F.col("lev1") == NUTRIENTS, F.col("lev3")).otherwise(F.col("lev1")))
+def with_category(totals: DataFrame) -> DataFrame:
+    """The category: the third level of nutrients, else the first."""
+    first = level("full_name", 1)
+    return totals.withColumn("category", F.when(first == NUTRIENTS, level("full_name", 3)).otherwise(first))
 
 
-def category_summary(totals: DataFrame, depth: int) -> DataFrame:
+def category_summary(totals: DataFrame) -> DataFrame:
     """Totals and percentage of positives per category, without the non-substances."""
-    grouped = grains.regroup(with_category(totals, depth), ["category"])
+    grouped = grains.regroup(with_category(totals), ["category"])
     kept = grouped.filter(~F.lower("category").isin(*SKIPPED_CATEGORIES))
     label = title_case(F.col("category"))
     for long, short in CATEGORY_LABELS.items():
@@ -159,9 +159,9 @@ def category_summary(totals: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def level2_breakdown(totals: DataFrame, lev1: str, depth: int, only: Sequence[str] | None = None) -> DataFrame:
+def level2_breakdown(totals: DataFrame, lev1: str, only: Sequence[str] | None = None) -> DataFrame:
     """Totals per second level below one first level, optionally for listed members only."""
-    below = levels(totals, "full_name", depth).filter(F.lower("lev1") == lev1)
+    below = totals.filter(F.lower(level("full_name", 1)) == lev1).withColumn("lev2", level("full_name", 2))
     if only is not None:
         below = below.filter(F.col("lev2").isin(*only))
     grouped = grains.regroup(below, ["lev2"])
@@ -212,7 +212,8 @@ def strategy_mix(counts: DataFrame, n: int = 15, strategies: Sequence[str] = STR
     ``counts``: ``type, samp_country, strategy`` and totals.  The share is taken over the
     listed strategies only.
     """
-    known = counts.filter(F.col("type").isNotNull() & F.col("samp_country").isNotNull())
+    titled = counts.withColumn("samp_country", title_case(F.col("samp_country")))
+    known = titled.filter(F.col("type").isNotNull() & F.col("samp_country").isNotNull())
     wide = known.groupBy("type", "samp_country").agg(
         F.sum(TOTAL).alias("total_meas"), F.sum(POSITIVE).alias("pos_meas"),
         *sums_by_label("strategy", strategies, F.col(TOTAL)),
@@ -258,15 +259,14 @@ def yearly_trend(counts: DataFrame, outliers: Sequence[int] = OUTLIER_YEARS) ->
 
 def product_groups(counts: DataFrame, path_col: str = "full_name") -> DataFrame:
     """Totals per type and reporting group; products without a group are left out."""
-    split = levels(counts, path_col, 5)
-    group = product_rules.product_group(*[F.col(c) for c in ("type", "lev2", "lev3", "lev4", "lev5")])
-    grouped = grains.regroup(split.withColumn("result", group), ["type", "result"])
+    group = product_rules.product_group(F.col("type"), *[level(path_col, n) for n in (2, 3, 4, 5)])
+    grouped = grains.regroup(counts.withColumn("result", group), ["type", "result"])
     return grouped.withColumn("proportion_positive", share(F.col(POSITIVE), F.col(TOTAL)))
 
 
-def food_categories(groups: DataFrame, rules: Sequence[tuple[str, str]], label: str = "result") -> DataFrame:
+def food_categories(groups: DataFrame, rules: DataFrame, label: str = "result") -> DataFrame:
     """Totals per type and category, by the first rule that fits the label."""
-    named = groups.withColumn("category", first_matching_category(F.col(label), rules))
+    named = first_matching_category(groups, label, rules)
     grouped = grains.regroup(named, ["type", "category"])
     return grouped.select(
         "type", capitalise(F.col("category")).alias("category"), TOTAL, POSITIVE,

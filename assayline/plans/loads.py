@@ -62,7 +62,7 @@ MEASUREMENT_CODES = (
 )
 
 # Columns that the reader adds and that are not part of a release.
-PLUMBING = ("release", "file", "file_path", "block", "position", "file_id", "filetype", "measurement_nr")
+PLUMBING = ("release", "file", "file_path", "block", "position", "nr_cols", "file_id", "filetype", "measurement_nr")
 
 
 class Loaded(NamedTuple):
@@ -100,9 +100,10 @@ def sample_hash(df: DataFrame, registry: Registry) -> Column:
 
 
 def clean_release(raw: DataFrame, registry: Registry, columns: Sequence[str], zero_columns: Sequence[str] = EARLY_ZERO_COLUMNS) -> DataFrame:
-    """Harmonise names, keep the given columns, clean cells, null sentinels, cast, null zeros."""
+    """Harmonise names, keep the given columns, clean cells, null sentinels and blanks, cast, null zeros."""
     df = cleaning.harmonise(raw, RELEASE_RENAMES, columns, keep=PLUMBING)
     df = cleaning.null_sentinel_cells(cleaning.clean_cells(df, skip=PLUMBING), skip=PLUMBING)
+    df = cleaning.blank_cells_to_null(df, skip=PLUMBING)
     df = cleaning.cast_by_registry(df, registry.datatypes, skip=PLUMBING)
     numbers = [c for c in zero_columns if "number" in registry.datatypes.get(c, "")]
     return cleaning.zeros_to_null(df, numbers)
@@ -112,9 +113,10 @@ def build_samples(raw: DataFrame, registry: Registry, repairs: Sequence[Repair]
     """One row per sample and file, out of releases with one row per measurement.
 
     Rows equal in all sample columns are one sample.  A file in which two different rows
-    share the identifiers is left out whole, and listed in ``rejected``.  Identifiers are
-    unique per file from there on, so nulling the later date parts cannot make two rows of a
-    file equal, and no second de-duplication (a full shuffle) is needed.
+    share the sample key (``sample_hash``, the one definition of identity that all loads use)
+    is left out whole, and listed in ``rejected``.  Keys are unique per file from there on, so
+    nulling the later date parts cannot make two rows of a file equal, and no second
+    de-duplication (a full shuffle) is needed.
 
     The distinct rows are written once: the check for repeated identifiers, and the loads of
     core and attributes after it, read them back with only the columns they need.
@@ -124,9 +126,11 @@ def build_samples(raw: DataFrame, registry: Registry, repairs: Sequence[Repair]
         if fix.column in df.columns:
             keys = [c for c in df.columns if c in registry.identifiers]
             df = dedup.repair_duplicates(df, keys, fix.id_column, fix.column, F.lit(fix.value), file_stem(F.col("file")) == fix.file)
-    distinct = materialise(df.dropDuplicates(), "samples")
-    good, bad = dedup.split_bad_files(distinct, registry.identifiers)
-    return Loaded(cleaning.zeros_to_null(good, LATE_ZERO_COLUMNS), bad)
+    distinct = df.dropDuplicates()
+    full = cleaning.add_missing(distinct, registry.identifiers)
+    keyed = full.select(*distinct.columns, sample_hash(full, registry).alias("_identity"))
+    good, bad = dedup.split_bad_files(materialise(keyed, "samples"), ["_identity"])
+    return Loaded(cleaning.zeros_to_null(good.drop("_identity"), LATE_ZERO_COLUMNS), bad)
 
 
 def load_sample_core(
@@ -196,7 +200,8 @@ def split_measurements(numbered: DataFrame, registry: Registry, core_samples: Da
         kind = "double" if "number" in registry.datatypes[name] else "string"
         df = cleaning.add_missing(df, [name], kind)
     hashed = df.withColumn("samplehash", sample_hash(df, registry))
-    lookup = core_samples.select("samplehash", F.col("id").alias("sample_core_id"))
+    # One row per key, whatever the stored table holds: a match must not multiply measurements.
+    lookup = core_samples.groupBy("samplehash").agg(F.min("id").alias("sample_core_id"))
     joined = materialise(hashed.join(lookup, "samplehash", "left"), "measurements")
     matched = joined.filter(F.col("sample_core_id").isNotNull())
     core = matched.select("sample_core_id", *registry.core_measurement_columns, "file_id", "filetype", "measurement_nr")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import title_case
 from ..operators import grains
-from ..operators.dims import hierarchy_paths, load_rules, product_names
-from ..operators.reshape import levels
+from ..operators.dims import hierarchy_paths, ordered_rules, product_names
+from ..operators.reshape import level
 from ..plans import analytics as an
 from ..sources.catalogues import product_catalogue
 from . import standin as st
@@ -73,7 +73,7 @@ def hierarchy_path_names(spark, sf):
 def hierarchy_levels(spark, sf):
     paths = hierarchy_paths(st.param_terms(spark, sf), "code", "name")
     named = st.params(spark, sf).join(paths, "code", "left")
-    return levels(named, "full_name", 4).select("id", "lev1", "lev2", "lev3", "lev4")
+    return named.select("id", *[level("full_name", n).alias(f"lev{n}") for n in range(1, 5)])
 
 
 @query("param_totals", f"{PARAM_TOTALS} SELECT type, paramid, param_name, full_name, total_measurements, positive_measurements FROM totals")
@@ -83,7 +83,7 @@ def param_totals(spark, sf):
 
 @query("category_summary", f"{CATEGORIES} SELECT * FROM summary")
 def category_summary(spark, sf):
-    return an.category_summary(_totals(spark, sf), 3)
+    return an.category_summary(_totals(spark, sf))
 
 
 @query("level2_breakdown", f"""{PARAM_TOTALS}
@@ -91,7 +91,7 @@ SELECT {st.sql_title('lev2')} AS lev2, total_measurements, positive_measurements
        CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive
 FROM (SELECT lev2, {ADDED} FROM totals WHERE lev1 = 'toxins' GROUP BY lev2)""")
 def level2_breakdown(spark, sf):
-    return an.level2_breakdown(_totals(spark, sf), "toxins", 3)
+    return an.level2_breakdown(_totals(spark, sf), "toxins")
 
 
 @query("bubble_scaling", f"""{CATEGORIES}
@@ -99,7 +99,7 @@ SELECT category, total_measurements, format('{{:,}}', total_measurements) AS lab
        round(50.0 + (log10(total_measurements) - low) / nullif(high - low, 0) * 350.0, 6) AS size
 FROM summary, (SELECT log10(min(total_measurements)) AS low, log10(max(total_measurements)) AS high FROM summary)""")
 def bubble_scaling(spark, sf):
-    scaled = an.bubble_scaling(an.category_summary(_totals(spark, sf), 3))
+    scaled = an.bubble_scaling(an.category_summary(_totals(spark, sf)))
     return scaled.withColumn("size", F.round("size", 6))
 
 
@@ -172,8 +172,8 @@ _SHARES = ", ".join(f'CAST("{x}" AS DOUBLE) / nullif(CAST({_LISTED} AS DOUBLE),
 
 
 @query("top_country_strategy_mix", f"""{FACTS}, wide AS (
-  SELECT type, samp_country, count(*) AS total_meas, count(*) FILTER (WHERE {st.POSITIVE}) AS pos_meas, {_SUMS}
-  FROM facts GROUP BY type, samp_country), ranked AS (
+  SELECT type, {st.sql_title('samp_country')} AS samp_country, count(*) AS total_meas, count(*) FILTER (WHERE {st.POSITIVE}) AS pos_meas, {_SUMS}
+  FROM facts GROUP BY type, {st.sql_title('samp_country')}), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY total_meas DESC, samp_country) AS INTEGER) AS rank FROM wide)
 SELECT type, samp_country, total_meas, pos_meas, rank, {_SHARES} FROM ranked WHERE rank <= 15""")
 def top_country_strategy_mix(spark, sf):
@@ -269,7 +269,7 @@ SELECT type, upper(category[1]) || category[2:] AS category, total_measurements,
 FROM (SELECT type, category, {ADDED} FROM named GROUP BY type, category)""")
 def category_mapping(spark, sf):
     listed = spark.createDataFrame([(i, *r) for i, r in enumerate(CATEGORY_RULES)], "ordinal int, item string, category string")
-    return an.food_categories(_product_groups(spark, sf), load_rules(listed, "item", "category", "ordinal"))
+    return an.food_categories(_product_groups(spark, sf), ordered_rules(listed, "item", "category", "ordinal"))
 
 
 # --- countries and years --------------------------------------------------------------

@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
 
 TYPES = {"A": "chemical", "N": "pesticides", "R": "vmpr"}
 STRATEGIES = {
@@ -175,7 +174,7 @@ def raw_release(spark: SparkSession, sf: str) -> DataFrame:
     line, orders, customer, nation = (table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation"))
     columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"]
     joined = (
-        spread(line.select(*columns)).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        line.select(*columns).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )

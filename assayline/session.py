@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run_folder: contextvars.ContextVar[str] = contextvars.ContextVar("run_folder", default="")
+
 # Settings every job relies on.  All are runtime SQL settings, so they can be put on a
 # session that somebody else created.
 RUNTIME_CONF = {
@@ -65,20 +70,27 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused folder for one run's intermediate table.
 
-    All folders of an application lie below its id, so they can be removed together once it
-    has ended.
+    All folders of an application lie below its id, and those of a ``scratch_run`` below a
+    folder of its own, so they can be removed together once it has ended.
     """
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{_run_folder.get()}{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input over all cores when it is read by fewer tasks than there are cores.
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Everything staged inside is removed at the end, through the file system that holds it.
 
-    A small table in a single row group is read by one task, which would then also do all
-    the work per row.  Large inputs have many more splits than cores and are left alone.
+    Results must be written elsewhere before.  Yields the folder.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    run = f"run-{uuid.uuid4().hex}/"
+    token = _run_folder.set(_run_folder.get() + run)
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{_run_folder.get()}"
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.text import clean_text
-
-# A registry describes columns, so its size has nothing to do with the data.  Reading more
-# than this means that the wrong table was passed.
-MAX_COLUMNS = 10_000
 
 
 @dataclass(frozen=True)
@@ -86,30 +81,34 @@ class Registry:
         return spark.createDataFrame(rows, "id int, columnname string, sample_measurement string, datatype string, catalogue string")
 
 
-def read_registry_csv(spark: SparkSession, path: str, quote: str = '"', escape: str = '"') -> DataFrame:
-    return spark.read.csv(path, header=True, quote=quote, escape=escape)
+def read_registry_csv(path: str, sep: str = ",") -> list[dict[str, str]]:
+    """The rows of a registry file.  It is configuration, which shapes the schema, so the driver reads it."""
+    with open(path, newline="", encoding="utf-8-sig") as file:
+        return [{(k or "").strip().lower(): v for k, v in row.items()} for row in csv.DictReader(file, delimiter=sep)]
 
 
-def _config_rows(df: DataFrame):
-    rows = df.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"a registry has at most {MAX_COLUMNS} columns")
-    return rows
+def _text(row: Mapping, name: str) -> str:
+    return str("" if row.get(name) is None else row[name]).strip().lower()
 
 
-def registry_from(df: DataFrame) -> Registry:
-    """Build the registry from its table; texts are lower-cased and stripped first."""
-    texts = ("columnname", "sample_measurement", "datatype", "catalogue")
-    flags = ("unique_identifier", "core_sample", "core_measurement")
-    cells = [clean_text(F.col(c).cast("string")).alias(c) for c in texts]
-    cells += [F.coalesce(F.col(c).cast("string").try_cast("int"), F.lit(0)).alias(c) for c in flags]
-    return Registry(tuple(
-        ColumnSpec(
-            r.columnname, r.sample_measurement, r.datatype, r.catalogue or "0",
-            r.unique_identifier == 1, r.core_sample == 1, r.core_measurement == 1,
-        )
-        for r in _config_rows(df.select(*cells))
-    ))
+def _flag(row: Mapping, name: str) -> bool:
+    text = _text(row, name)
+    if text not in ("", "0", "1", "0.0", "1.0"):
+        raise ValueError(f"{name} must be 0 or 1, found {text!r}")
+    return text in ("1", "1.0")
+
+
+def registry_from(rows: Iterable[Mapping]) -> Registry:
+    """Build the registry from its rows; texts are lower-cased and stripped first."""
+    specs = []
+    for row in rows:
+        if not _text(row, "columnname"):
+            raise ValueError("a registered column needs a name")
+        specs.append(ColumnSpec(
+            _text(row, "columnname"), _text(row, "sample_measurement"), _text(row, "datatype"), _text(row, "catalogue") or "0",
+            *[_flag(row, flag) for flag in ("unique_identifier", "core_sample", "core_measurement")],
+        ))
+    return Registry(tuple(specs))
 
 
 @dataclass(frozen=True)
@@ -153,8 +152,9 @@ class AmrRegistry:
         return {c.merged_name: c.catalogue.lower() for c in self.merged if c.catalogue}
 
 
-def amr_registry_from(df: DataFrame) -> AmrRegistry:
-    rows = _config_rows(df.select("columnname", "merge", "columnname_db", "catalogue", "volgorde", "drop"))
+def amr_registry_from(rows: Iterable[Mapping]) -> AmrRegistry:
+    """The same for antimicrobial-resistance releases; blank cells are missing, order and ``drop`` are numbers."""
     return AmrRegistry(tuple(
-        AmrColumn(r.columnname, r.merge, r.columnname_db, r.catalogue, int(r.volgorde), bool(r["drop"])) for r in rows
+        AmrColumn(r["columnname"], r.get("merge") or None, r["columnname_db"], r.get("catalogue") or None, int(float(r["volgorde"])), _flag(r, "drop"))
+        for r in rows
     ))

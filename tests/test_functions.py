@@ -112,7 +112,9 @@ def test_tuple_hash_equals_nullsafe_equality(spark):
         assert r.same == ((r.a, r.b, r.c) == (r.x, r.y, r.z))
 
 
-@pytest.mark.parametrize("raw, want", [("1", "1"), ("1.0", "1"), ("10", "10"), ("0", "0"), ("1.50", "1.5"), (None, None)])
+@pytest.mark.parametrize("raw, want", [("1", "1"), ("1.0", "1"), ("10", "10"), ("0", "0"), ("1.50", "1.5"), (None, None), ("-0.0", "0"),
+    ("+007", "7"), ("1.00000000001", "1.00000000001"), ("1E3", "1000"), ("1.25e-3", "0.00125"), ("-12.5E1", "-125"), (".5", "0.5"), ("5.", "5"),
+    ("123456789012345678901234567890.10", "123456789012345678901234567890.1"), ("x", None), ("", None), (".", None), ("0e999", "0"), ("1e999", "1e999"), ("1.2345678E7", "12345678"), ("00", "0"), ("-00.50", "-0.5")])
 def test_canonical_number(one, raw, want):
     assert one(identity.canonical_number, raw) == want
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from assayline import session
 from assayline.operators import compare, inserts, numbering, quality, reshape
 from assayline.plans import loads, star
 from assayline.sources import catalogues, registry, releases, tables
@@ -105,10 +108,43 @@ def test_pending_releases(spark):
 def test_layouts_with_other_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.csv").write_text("y,z\n3,4\n")
-    both = releases.read_releases(spark, {str(tmp_path / n): [str(tmp_path / n)] for n in ("a.csv", "b.csv")})
+    both = releases.read_releases(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")])
     assert rows(both, "file", "x", "y", "z") == [("a.csv", "1", "2", None), ("b.csv", None, "3", "4")]
 
 
+def test_csv_cells_as_the_csv_module_writes_them(spark, tmp_path):
+    cells = [['a, "b"', "line\nbreak"], ["back\\", "x"], ['""', " blank "], ["", "é;\t'"], ["a\n\nb", "z"]]
+    for name, header in (("one.csv", ["x", "y"]), ("two.csv", ["y", "x"])):
+        with open(tmp_path / name, "w", newline="", encoding="utf8") as file:
+            out = csv.writer(file)
+            out.writerow(header)
+            out.writerows(cells if header == ["x", "y"] else [c[::-1] for c in cells])
+    staged = releases.stage_release(releases.read_releases(spark, [str(tmp_path / n) for n in ("one.csv", "two.csv")]))
+    got = numbering.number_file_rows(staged)
+    want = sorted((n, i + 1, x or "", y) for n in ("one.csv", "two.csv") for i, (x, y) in enumerate(cells))
+    assert sorted((r.file, r.measurement_nr, r.x or "", r.y) for r in got.collect()) == want
+    with pytest.raises(Exception, match="CSV header|HEADER"):
+        releases.read_release(spark, [str(tmp_path / n) for n in ("one.csv", "two.csv")]).collect()
+
+
+def test_one_identity_for_blank_missing_and_numbers(spark):
+    row = lambda code, day, text: (code, day, text, "occ_1.zip")
+    raw = spark.createDataFrame(
+        [row("", "1", "a"), row(None, "1.0", "b"), row("s2", "1.00000000001", "c"), row("s2", "1.00000000002", "d")],
+        "LabSampCode string, AnalysisD string, ProdText_A string, file string")
+    assert rows(loads.build_samples(raw, REGISTRY).rejected) == [("occ_1.zip",)]
+    apart = raw.filter("LabSampCode = 's2'")
+    built = loads.build_samples(apart, REGISTRY)
+    assert built.rows.count() == 2 and built.rejected.count() == 0
+    full = loads.cleaning.add_missing(built.rows, REGISTRY.identifiers)
+    stored = full.select(loads.sample_hash(full, REGISTRY).alias("samplehash"))
+    assert stored.distinct().count() == 2
+    # Every row finds one sample or none, also where the stored table repeats a key.
+    numbered = apart.withColumns({"file_id": F.col("file"), "filetype": F.lit("vmpr"), "measurement_nr": F.lit(1)})
+    parts = loads.split_measurements(numbered, REGISTRY, stored.union(stored).withColumn("id", F.col("samplehash")))
+    assert (parts.core.count(), parts.unmatched.count()) == (2, 0)
+
+
 def test_rows_are_numbered_in_file_order_across_splits(spark, tmp_path):
     for name, n in (("big.csv", 5000), ("small.csv", 3)):
         (tmp_path / name).write_text("v\n" + "".join(f"{i}\n" for i in range(1, n + 1)))
@@ -116,7 +152,7 @@ def test_rows_are_numbered_in_file_order_across_splits(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
         spark.conf.set("spark.sql.files.openCostInBytes", "1")
-        staged = releases.stage_release(releases.read_release(spark, str(tmp_path)))
+        staged = releases.stage_release(releases.read_release(spark, str(tmp_path), multiline=False))
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
@@ -239,15 +275,36 @@ def test_catalogues(spark):
     assert rows(catalogues.with_ids(loaded), "termcode", "id") == [("a1", 1), ("b1", 2)]
 
 
+def test_repeated_codes_are_refused(spark):
+    sheet = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "termcode string, n int")
+    kept, refused = catalogues.split_repeated(sheet)
+    assert rows(kept) == [("a", 1)] and rows(refused, "n") == [(2,), (3,), (4,)]
+
+
+def test_staged_tables_end_with_their_run(spark):
+    import os
+
+    with session.scratch_run(spark) as folder:
+        kept = session.materialise(spark.range(3), "inside").count()
+        assert kept == 3 and os.listdir(folder)
+        with pytest.raises(RuntimeError), session.scratch_run(spark) as inner:
+            session.materialise(spark.range(3), "deeper")
+            raise RuntimeError
+        assert inner.startswith(folder) and not os.path.exists(inner)
+    assert not os.path.exists(folder)
+
+
 def test_registry_from_a_table(spark, tmp_path):
     path = tmp_path / "registry.csv"
-    path.write_text('ColumnName;SampleM\n"Sampid ""x""";s\n')
-    quoted = registry.read_registry_csv(spark, str(tmp_path))
-    assert quoted.count() == 1
-    df = spark.createDataFrame(
-        [(" SampId", "s", "text", None, 1, 1, 0), ("resid", "m", "text", "0", None, None, 1)],
-        "columnname string, sample_measurement string, datatype string, catalogue string, unique_identifier int, core_sample int, core_measurement int")
-    made = registry.registry_from(df)
+    path.write_text('ColumnName;Sample_Measurement;DataType;Catalogue;Unique_Identifier;Core_Sample;Core_Measurement\n" SampId";s;text;;1;1;0\nresid;m;"text; ""x""";0;;;1.0\n')
+    listed = registry.read_registry_csv(str(path), ";")
+    made = registry.registry_from(listed)
+    assert made.datatypes["resid"] == 'text; "x"'
+    many = [{**listed[0], "columnname": f"c{i}"} for i in range(10_500)]
+    assert len(registry.registry_from(many).specs) == 10_500
+    for wrong in ({**listed[0], "core_sample": "yes"}, {**listed[0], "columnname": " "}):
+        with pytest.raises(ValueError):
+            registry.registry_from([wrong])
     assert (made.identifiers, made.core_sample_columns, made.core_measurement_columns) == (["sampid"], ["sampid"], ["resid"])
     with pytest.raises(ValueError, match="role"):
         Registry((ColumnSpec("x", "q", "text"),))
@@ -303,11 +360,11 @@ def test_streamed_batches_and_a_repeated_batch(spark, tmp_path):
 
 
 def test_inventories(spark, staged):
-    assert rows(releases.release_inventory(staged, 12)) == [
+    assert rows(releases.release_inventory(staged)) == [
         ("OCC_2018_NL.ZIP", "chemical", 2018, "NL", 12, 2), ("OCC_2019_NL.ZIP", "chemical", 2019, "NL", 12, 2),
         ("VMPR_2017_PT.ZIP", "vmpr", 2017, "PT", 12, 3)]
-    amr = spark.createDataFrame([("NL_AMR_PUB_2018.csv",)], "release string")
-    assert rows(releases.amr_inventory(amr, 3)) == [("NL_AMR_PUB_2018.csv", "amr", 2018, "NL", 3, 1)]
+    amr = spark.createDataFrame([("NL_AMR_PUB_2018.csv", 3)], "release string, nr_cols int")
+    assert rows(releases.amr_inventory(amr)) == [("NL_AMR_PUB_2018.csv", "amr", 2018, "NL", 3, 1)]
 
 
 def test_exports_and_statistics(spark, tmp_path):
@@ -352,7 +409,7 @@ def test_release_stream_equals_batch_load(spark, tmp_path, folder, dictionaries,
 
 def test_odd_header_names_survive_staging(spark, tmp_path):
     (tmp_path / "odd.csv").write_text('"Prod Code_A","Samp (Y)","x;y=z"\nA,2017,1\n')
-    staged = releases.stage_release(releases.read_release(spark, str(tmp_path)))
+    staged = releases.stage_release(releases.read_release(spark, str(tmp_path), multiline=False))
     from assayline.operators import cleaning
 
     out = cleaning.harmonise(staged, {"prod_code": "sampmatcodebasebuilding"}, keep=loads.PLUMBING)

@@ -124,13 +124,31 @@ def test_hierarchy_paths(spark):
 
 def test_rules_take_the_first_match(spark):
     listed = frame(spark, "i int, item string, category string", (2, "beans", "pulses"), (1, " Green ", "vegetables "), (3, "green", "late"))
-    rules = dims.load_rules(listed, "item", "category", "i")
-    assert rules == [("green", "late"), ("beans", "pulses")]  # a repeated item keeps its place and takes the last category
+    rules = dims.ordered_rules(listed, "item", "category", "i")
+    # A repeated item keeps its place and takes the last category.
+    assert rows(rules.orderBy("ordinal"), "item", "category", "ordinal") == [("beans", "pulses", 2), ("green", "late", 1)]
     labels = frame(spark, "l string", ("GREEN beans",), ("soy beans",), ("milk",), (None,))
-    assert rows(labels.select("l", dims.first_matching_category(F.col("l"), rules).alias("c"))) == [
+    assert rows(dims.first_matching_category(labels, "l", rules, "c")) == [
         ("GREEN beans", "late"), ("milk", "milk"), ("soy beans", "pulses"), (None, None)]
 
 
+def test_any_number_of_rules(spark):
+    listed = spark.range(12_000).select(F.col("id").alias("i"), F.concat(F.lit("item-"), F.col("id"), F.lit("-")).alias("item"), F.concat(F.lit("c"), F.col("id")).alias("category"))
+    rules = dims.ordered_rules(listed, "item", "category", "i")
+    labels = frame(spark, "l string", ("an ITEM-11999- of it",), ("item-5- and item-4-",), ("none",), ("",))
+    assert rows(dims.first_matching_category(labels, "l", rules, "c")) == [("", ""), ("an ITEM-11999- of it", "c11999"), ("item-5- and item-4-", "c4"), ("none", "none")]
+
+
+def test_a_path_keeps_all_its_levels(spark):
+    df = frame(spark, "p string", ("a::b::c::d::e::f",), ("a",), (None,))
+    assert rows(df.select(reshape.level("p", 6), reshape.level("p", 1))) == [("f", "a"), (None, "a"), (None, None)]
+
+
+def test_keys_of_two_number_types_meet(spark):
+    left, right = frame(spark, "k int, a string", (1, "x"), (None, "y")), frame(spark, "k double, b string", (1.0, "u"), (None, "v"))
+    assert rows(compare.nullsafe_join(left, right, ["k"]), "a", "b") == [("x", "u"), ("y", "v")]
+
+
 # --- insert rules ---------------------------------------------------------------------
 
 
