@@ -52,6 +52,19 @@ CATEGORY_LABELS = {
 }
 NUTRIENTS = "nutrients"
 
+# First levels whose second levels are reported, and the metals of the last one.
+POPS = "persistent organic pollutants (pops) and other organic contaminants"
+ELEMENTS = "chemical elements (including derivatives) and others"
+METALS = (
+    "lead and derivatives", "cadmium and derivatives", "mercury and derivatives",
+    "arsenic and derivatives", "nickel and derivatives", "copper and derivatives",
+    "zinc and derivatives", "chromium and derivatives", "selenium and derivatives",
+    "manganese and derivatives", "tin and derivatives", "thallium and derivatives",
+    "barium and derivatives", "cobalt and derivatives", "antimony and derivatives",
+    "silver and derivatives", "beryllium and derivatives", "vanadium and derivatives",
+    "uranium and derivatives", "thorium and derivatives",
+)
+
 UNKNOWN = "unknown"
 
 
@@ -168,6 +181,16 @@ def level2_breakdown(totals: DataFrame, lev1: str, only: Sequence[str] | None =
     return grouped.select(title_case(F.col("lev2")).alias("lev2"), TOTAL, POSITIVE, share(F.col(POSITIVE), F.col(TOTAL)).alias("proportion_positive"))
 
 
+def pops_breakdown(totals: DataFrame) -> DataFrame:
+    """Second levels of the organic contaminants."""
+    return level2_breakdown(totals, POPS)
+
+
+def metals_breakdown(totals: DataFrame, metals: Sequence[str] = METALS) -> DataFrame:
+    """The listed metals among the chemical elements."""
+    return level2_breakdown(totals, ELEMENTS, metals)
+
+
 def bubble_scaling(summary: DataFrame, smallest: float = 50.0, largest: float = 400.0) -> DataFrame:
     """Marker size per category on a log scale, with the total as a readable number.
 

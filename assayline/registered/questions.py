@@ -59,13 +59,13 @@ def param_like(spark, sf):
 
 
 @query("mycotoxin_counts", f"""{VIEW}
-SELECT v.filetype, v.param, count(*) AS n FROM view v JOIN selected t ON v.param = t.name GROUP BY v.filetype, v.param""")
+SELECT v.filetype, v.param, count(*) AS n FROM view v JOIN selected t ON v.param = t.name GROUP BY v.filetype, v.param""", order=["-n", "filetype", "param"])
 def mycotoxin_counts(spark, sf):
     return an.count_selected(st.measurements(spark, sf), _selected(spark, sf), ["filetype", "param"])
 
 
 @query("count_by_country", f"""{VIEW}
-SELECT sampcountry, count(*) AS n FROM view v JOIN selected t ON v.param = t.name WHERE filetype = 'chemical' GROUP BY sampcountry""")
+SELECT sampcountry, count(*) AS n FROM view v JOIN selected t ON v.param = t.name WHERE filetype = 'chemical' GROUP BY sampcountry""", order=["-n", "sampcountry"])
 def count_by_country(spark, sf):
     counts = an.count_selected_by_sample(
         st.measurements_of(spark, sf, "chemical"), st.samples(spark, sf), _selected(spark, sf), ["samp_country_id"])
@@ -74,7 +74,7 @@ def count_by_country(spark, sf):
 
 @query("suspect_only", f"""{VIEW}
 SELECT sampcountry, count(*) AS n FROM view v JOIN selected t ON v.param = t.name
-WHERE filetype = 'chemical' AND strategy = '{SUSPECT}' GROUP BY sampcountry""")
+WHERE filetype = 'chemical' AND strategy = '{SUSPECT}' GROUP BY sampcountry""", order=["-n", "sampcountry"])
 def suspect_only(spark, sf):
     counts = an.count_selected_by_sample(
         st.measurements_of(spark, sf, "chemical"), st.samples(spark, sf).filter(F.col("strategy") == SUSPECT),
@@ -84,7 +84,7 @@ def suspect_only(spark, sf):
 
 @query("two_country_compare", f"""{VIEW}
 SELECT sampcountry, param, count(*) AS n FROM view WHERE filetype = 'chemical' AND sampcountry IN {st.sql_list(PAIR)}
-GROUP BY sampcountry, param""")
+GROUP BY sampcountry, param""", order=["param", "-n", "sampcountry"])
 def two_country_compare(spark, sf):
     counts = an.count_selected_by_sample(
         st.measurements_of(spark, sf, "chemical"), _samples_of(spark, sf, PAIR), _all_params(spark, sf), ["samp_country_id"], True)
@@ -93,7 +93,7 @@ def two_country_compare(spark, sf):
 
 @query("exclude_strategy", f"""{VIEW}
 SELECT sampcountry, param, count(*) AS n FROM view
-WHERE filetype = 'chemical' AND sampcountry IN {st.sql_list(PAIR)} AND strategy <> '{SUSPECT}' GROUP BY sampcountry, param""")
+WHERE filetype = 'chemical' AND sampcountry IN {st.sql_list(PAIR)} AND strategy <> '{SUSPECT}' GROUP BY sampcountry, param""", order=["param", "-n", "sampcountry"])
 def exclude_strategy(spark, sf):
     others = _samples_of(spark, sf, PAIR).filter(F.col("strategy") != SUSPECT)
     counts = an.count_selected_by_sample(
@@ -103,7 +103,7 @@ def exclude_strategy(spark, sf):
 
 @query("two_country_selected_params", f"""{VIEW}
 SELECT sampcountry, param, count(*) AS n FROM view v JOIN selected t ON v.param = t.name
-WHERE filetype = 'chemical' AND sampcountry IN {st.sql_list(PAIR)} AND strategy <> '{SUSPECT}' GROUP BY sampcountry, param""")
+WHERE filetype = 'chemical' AND sampcountry IN {st.sql_list(PAIR)} AND strategy <> '{SUSPECT}' GROUP BY sampcountry, param""", order=["-n", "param", "sampcountry"])
 def two_country_selected_params(spark, sf):
     others = _samples_of(spark, sf, PAIR).filter(F.col("strategy") != SUSPECT)
     counts = an.count_selected_by_sample(
@@ -116,7 +116,7 @@ def exceeding_flag(spark, sf):
     return _chosen_flagged(spark, sf)
 
 
-@query("evaluation_by_country", f"{VIEW} SELECT sampcountry, evalcode, count(*) AS n FROM flagged GROUP BY sampcountry, evalcode")
+@query("evaluation_by_country", f"{VIEW} SELECT sampcountry, evalcode, count(*) AS n FROM flagged GROUP BY sampcountry, evalcode", order=["evalcode", "-n", "sampcountry"])
 def evaluation_by_country(spark, sf):
     per_sample = _chosen_flagged(spark, sf).groupBy("sample_id", "evalcode").agg(F.count(F.lit(1)).alias("n"))
     joined = per_sample.join(st.samples(spark, sf).select("sample_id", "samp_country_id"), "sample_id")
@@ -127,13 +127,13 @@ RATE = """SELECT {0}, n, n_exceeding, CAST(n_exceeding AS DOUBLE) / CAST(n AS DO
 FROM (SELECT {0}, count(*) AS n, CAST(sum(exceeding) AS BIGINT) AS n_exceeding FROM flagged {1} GROUP BY {0})"""
 
 
-@query("exceeding_rate", f"{VIEW} {RATE.format('sampcountry', '')}")
+@query("exceeding_rate", f"{VIEW} {RATE.format('sampcountry', '')}", order=["-perc_exceeding", "sampcountry"])
 def exceeding_rate(spark, sf):
     rates = an.exceeding_rate(_chosen_flagged(spark, sf), st.samples(spark, sf), ["samp_country_id"])
     return _by_country(rates, spark, sf)
 
 
-@query("exceeding_rate_yearly", f"{VIEW} {RATE.format('sampy', chr(32) + 'WHERE sampcountry = ' + chr(39) + 'nation_7' + chr(39))}")
+@query("exceeding_rate_yearly", f"{VIEW} {RATE.format('sampy', chr(32) + 'WHERE sampcountry = ' + chr(39) + 'nation_7' + chr(39))}", order=["sampy"])
 def exceeding_rate_yearly(spark, sf):
     rates = an.exceeding_rate(_chosen_flagged(spark, sf), _samples_of(spark, sf, ["nation_7"]), ["year"])
     return rates.withColumnRenamed("year", "sampy")
@@ -156,7 +156,7 @@ def positive_samples(spark, sf):
 @query("samples_per_positive_count", f"""{STAR}
 SELECT positive_measurements, count(*) AS num_samples FROM (
   SELECT sample_id, count(*) AS positive_measurements FROM measurements WHERE {st.POSITIVE} GROUP BY sample_id)
-GROUP BY positive_measurements""")
+GROUP BY positive_measurements""", order=["positive_measurements"])
 def samples_per_positive_count(spark, sf):
     positive = st.measurements(spark, sf).filter(an.is_positive(F.col("evalcode")))
     return grains.histogram(positive, "sample_id", "positive_measurements")
@@ -164,6 +164,6 @@ def samples_per_positive_count(spark, sf):
 
 @query("samples_per_total_count", f"""{STAR}
 SELECT total_measurements, count(*) AS num_samples FROM (
-  SELECT sample_id, count(*) AS total_measurements FROM measurements GROUP BY sample_id) GROUP BY total_measurements""")
+  SELECT sample_id, count(*) AS total_measurements FROM measurements GROUP BY sample_id) GROUP BY total_measurements""", order=["total_measurements"])
 def samples_per_total_count(spark, sf):
     return grains.histogram(st.measurements(spark, sf), "sample_id", "total_measurements")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
 
@@ -12,15 +13,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+ORDERS: dict[str, tuple[str, ...]] = {}
 
 
-def query(key: str, sql: str | None = None):
-    """Register a query under a key, with the SQL that must give the same rows."""
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Sort a report by column names, ``-`` for descending; nulls are the largest value."""
+    return df.orderBy(*[F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc_nulls_last() for c in order])
+
+
+def query(key: str, sql: str | None = None, order: Sequence[str] = ()):
+    """Register a query under a key, with the SQL that must give the same rows, and the order of its rows."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), str(sf_dir).rstrip("/"))
+            df = fn(configure(spark), str(sf_dir).rstrip("/"))
+            return in_order(df, order) if order else df
 
+        ORDERS[key] = tuple(order)
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run
         if sql is not None:

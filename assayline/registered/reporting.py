@@ -81,7 +81,7 @@ def param_totals(spark, sf):
     return _totals(spark, sf)
 
 
-@query("category_summary", f"{CATEGORIES} SELECT * FROM summary")
+@query("category_summary", f"{CATEGORIES} SELECT * FROM summary", order=["-total_measurements", "category"])
 def category_summary(spark, sf):
     return an.category_summary(_totals(spark, sf))
 
@@ -89,11 +89,28 @@ def category_summary(spark, sf):
 @query("level2_breakdown", f"""{PARAM_TOTALS}
 SELECT {st.sql_title('lev2')} AS lev2, total_measurements, positive_measurements,
        CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive
-FROM (SELECT lev2, {ADDED} FROM totals WHERE lev1 = 'toxins' GROUP BY lev2)""")
+FROM (SELECT lev2, {ADDED} FROM totals WHERE lev1 = 'toxins' GROUP BY lev2)""", order=["-total_measurements", "lev2"])
 def level2_breakdown(spark, sf):
     return an.level2_breakdown(_totals(spark, sf), "toxins")
 
 
+_LEV2 = f"""SELECT {st.sql_title('lev2')} AS lev2, total_measurements, positive_measurements,
+       CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive"""
+# Brands take the place of the listed metals.
+LISTED_BRANDS = ("brand#21", "brand#22", "brand#24", "brand#25")
+
+
+@query("pops_breakdown", f"{PARAM_TOTALS} {_LEV2} FROM (SELECT lev2, {ADDED} FROM totals WHERE lev1 = '{an.POPS}' GROUP BY lev2)", order=["-total_measurements", "lev2"])
+def pops_breakdown(spark, sf):
+    return an.pops_breakdown(_totals(spark, sf))
+
+
+@query("metals_breakdown", f"""{PARAM_TOTALS} {_LEV2}
+FROM (SELECT lev2, {ADDED} FROM totals WHERE lev1 = '{an.ELEMENTS}' AND lev2 IN {st.sql_list(LISTED_BRANDS)} GROUP BY lev2)""", order=["-total_measurements", "lev2"])
+def metals_breakdown(spark, sf):
+    return an.metals_breakdown(_totals(spark, sf), LISTED_BRANDS)
+
+
 @query("bubble_scaling", f"""{CATEGORIES}
 SELECT category, total_measurements, format('{{:,}}', total_measurements) AS label,
        round(50.0 + (log10(total_measurements) - low) / nullif(high - low, 0) * 350.0, 6) AS size
@@ -252,7 +269,7 @@ def _product_groups(spark, sf):
 
 
 @query("product_group", f"""{GROUPED}
-SELECT *, CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive FROM groups""")
+SELECT *, CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive FROM groups""", order=["-total_measurements", "type", "result"])
 def product_group(spark, sf):
     return _product_groups(spark, sf)
 
@@ -266,7 +283,7 @@ CATEGORY_RULES = (("Gear", "machine parts"), ("ring", "round parts"), (" bolt ",
     WHEN lower(result) LIKE '%ears%' THEN 'never reached by gears' ELSE result END AS category FROM groups)
 SELECT type, upper(category[1]) || category[2:] AS category, total_measurements, positive_measurements,
        CAST(positive_measurements AS DOUBLE) / CAST(total_measurements AS DOUBLE) AS proportion_positive
-FROM (SELECT type, category, {ADDED} FROM named GROUP BY type, category)""")
+FROM (SELECT type, category, {ADDED} FROM named GROUP BY type, category)""", order=["-total_measurements", "type", "category"])
 def category_mapping(spark, sf):
     listed = spark.createDataFrame([(i, *r) for i, r in enumerate(CATEGORY_RULES)], "ordinal int, item string, category string")
     return an.food_categories(_product_groups(spark, sf), ordered_rules(listed, "item", "category", "ordinal"))
@@ -278,7 +295,7 @@ def category_mapping(spark, sf):
 @query("country_type_matrix", f"""{FACTS}
 SELECT {st.sql_title('samp_country')} AS samp_country, """ + ", ".join(
     f"count(*) FILTER (WHERE type = '{t}') AS {t}_total, count(*) FILTER (WHERE type = '{t}' AND {st.POSITIVE}) AS {t}_pos" for t in an.TYPES
-) + " FROM facts WHERE samp_country IS NOT NULL GROUP BY 1")
+) + " FROM facts WHERE samp_country IS NOT NULL GROUP BY 1", order=["samp_country"])
 def country_type_matrix(spark, sf):
     return an.country_type_matrix(_country_counts(spark, sf))
 
@@ -288,7 +305,7 @@ def country_type_matrix(spark, sf):
   FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal BETWEEN 2000 AND 9000 GROUP BY 1)
 SELECT a.samp_country, a.total_meas_sum, round(e.total_production, 2) AS total_production
 FROM (SELECT {st.sql_title('samp_country')} AS samp_country, count(*) AS total_meas_sum FROM facts GROUP BY 1) a
-LEFT JOIN external e ON a.samp_country = e.samp_country""")
+LEFT JOIN external e ON a.samp_country = e.samp_country""", order=["-total_meas_sum", "samp_country"])
 def production_join(spark, sf):
     """The balance of a nation's suppliers stands in for production, and a range of balances for the range of years."""
     supplier, nation = st.table(spark, sf, "supplier"), st.table(spark, sf, "nation")
@@ -357,6 +374,6 @@ def unknown_origin_share(spark, sf):
 
 @query("unknown_origin_targets", f"""{FLOWS}
 SELECT samp_country, CAST(sum(number_of_samples) AS BIGINT) AS number_of_samples FROM flows
-WHERE orig_country = 'unknown' AND year <> 2107 GROUP BY samp_country""")
+WHERE orig_country = 'unknown' AND year <> 2107 GROUP BY samp_country""", order=["-number_of_samples", "samp_country"])
 def unknown_origin_targets(spark, sf):
     return an.unknown_origin_targets(_flows(spark, sf))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from assayline.operators import grains, ranking
 from assayline.plans import analytics as an
 from assayline.registered import QUERIES
+from assayline.registered.registry import ORDERS
 from assayline.registered import standin as st
 from assayline.sources import tables
 
@@ -59,6 +60,24 @@ def test_global_top_n_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in physical(an.trade_routes(flows, 0))
 
 
+@needs_tables
+@pytest.mark.parametrize("key", sorted(k for k, o in ORDERS.items() if o))
+def test_reports_come_in_order(spark, key):
+    got = QUERIES[key](spark, SF_DIR)
+    names = [c.lstrip("-") for c in ORDERS[key]]
+    cells = [tuple(r) for r in got.select(*names).collect()]
+    for i in range(len(names) - 1, -1, -1):
+        cells_sorted = sorted(cells if i == len(names) - 1 else cells_sorted, key=lambda r: (r[i] is None, r[i] if r[i] is not None else 0), reverse=ORDERS[key][i].startswith("-"))
+    assert cells == cells_sorted and len(cells) > 0
+
+
+def test_second_level_branches(spark):
+    rows = [(f"{an.POPS.title()}::dioxins::x", 5, 1), (f"{an.ELEMENTS}::lead and derivatives", 4, 2), (f"{an.ELEMENTS}::lead and derivatives::y", 6, 0), (f"{an.ELEMENTS}::gold", 9, 9), (None, 1, 1)]
+    totals = spark.createDataFrame(rows, f"full_name string, {grains.TOTAL} bigint, {grains.POSITIVE} bigint")
+    assert [tuple(r) for r in an.pops_breakdown(totals).collect()] == [("Dioxins", 5, 1, 0.2)]
+    assert [tuple(r) for r in an.metals_breakdown(totals).collect()] == [("Lead And Derivatives", 10, 2, 0.2)]
+
+
 @needs_tables
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_any_plan(spark, no_broadcast, key):
