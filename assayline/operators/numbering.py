@@ -38,15 +38,16 @@ def _number_pieces(staged: DataFrame, group: list[str], piece: str, position: st
     )
 
 
-def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str) -> DataFrame:
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str, tasks: int | None = None) -> DataFrame:
     """1-based number of each row in its group, in the given order.
 
     The order should identify a row; rows that tie get their numbers in no fixed order.
     Ranges are cut on group *and* order, so a group of any size spreads over many tasks.
+    ``tasks`` says how many; input bytes over some hundred megabytes is a good number for large
+    inputs.  Without it ``spark.sql.shuffle.partitions`` counts, and AQE joins small ranges.
     """
     keys = [F.col(c) for c in group] + [F.col(c) if isinstance(c, str) else c for c in order]
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(tasks, *keys) if tasks else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     placed = ranged.withColumn("_position", F.monotonically_increasing_id())
     placed = placed.withColumn("_piece", F.shiftright("_position", _POSITION_BITS))
     staged = materialise(placed, "numbered")

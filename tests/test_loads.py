@@ -405,6 +405,14 @@ def test_release_stream_equals_batch_load(spark, tmp_path, folder, dictionaries,
     assert rows(got["sample_rest"], "value") == [("a",), ("g050a",), ("kg",), ("kg",), ("text",)]
     assert rows(got["measurement_core"], "resid", "resval", "measurement_nr", "filetype") == [
         ("r1", 1.5, 1, "vmpr"), ("r1", 2.5, 1, "chemical"), ("r1", None, 3, "vmpr"), ("r2", 0.0, 2, "vmpr")]
+    # Attributes and everything refused are stored too, as the batch load returns them.
+    more = {**stream_releases.REPORTS, "measurement_rest": stream_releases.REST}
+    kept = {name: ingest.stored(spark, f"{root}/{name}", schema) for name, schema in more.items()}
+    same = ["measurement_nr", "columnname", "value"]
+    assert rows(kept["measurement_rest"], *same) == rows(measurements.rest, *same)
+    assert rows(kept["unmatched_measurements"], "measurement_nr") == rows(measurements.unmatched, "measurement_nr")
+    assert [r[0][:8] for r in rows(kept["refused_files"])] == ["occ_2019"]
+    assert rows(kept["refused_samples"], "missing") == [("product_id",)] and kept["unknown_params"].count() == 0
 
 
 def test_odd_header_names_survive_staging(spark, tmp_path):
