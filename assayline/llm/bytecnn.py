@@ -24,7 +24,7 @@ FIT_ROWS, FIT_BYTES = 4000, 1 << 16
 #: Few rows are gone over more often, until so many steps are made.
 EPOCHS, MIN_STEPS, BATCH, RATE = 8, 300, 64, 0.01
 #: Bytes whose activations are held at a time.
-BLOCK = 1 << 18
+BLOCK = 1 << 17
 
 
 @dataclass

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import add_columns, slices, stage, text_or_empty
+from .frames import add_columns, bounded_batches, slices, stage, text_or_empty
 from .suffixes import suffix_levels
 
 #: Words of a window; a shorter item is one window.
@@ -233,6 +233,7 @@ def longest(documents: DataFrame, benchmark: DataFrame, document: str = "doc_id"
     equally long matches the one with the smallest document, item and document word stays.
     """
     parts = []
+    bounded_batches(documents.sparkSession)
     for rows in blocks(benchmark, key, item_text):
         block = documents.sparkSession.sparkContext.broadcast(Items.of([r for r in rows if r[0] is not None], window))
 

@@ -14,7 +14,8 @@ from assayline import session
 
 # Arrow batches are worked on in slices of about this many bytes of text, so that what a task
 # holds follows the longest row and not the batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return session.materialise(df, name)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of this session be larger than BATCH_ROWS rows or BATCH_BYTES (or one row).
+
+    Whole texts travel in these batches, and both sides hold some of them, so the defaults of
+    10,000 rows and 64 MB would decide what an executor needs.  Smaller settings are left alone.
+    Frames are run later by the caller, so the setting stays.
+    """
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(rows))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    if spark.conf.get(size) == "67108864b":
+        spark.conf.set(size, BATCH_BYTES)
+
+
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy parts of a batch, each of at most ``limit`` bytes in ``column`` or one row."""
     sizes = [x or 0 for x in pc.binary_length(batch.column(column)).to_pylist()]
@@ -54,6 +70,7 @@ def add_columns(
     reordered.  All other columns are kept (or those in ``keep``); an existing column with the
     name of an output, in any case of letters, gives way to it.
     """
+    bounded_batches(df.sparkSession)
     made = T.StructType.fromDDL(outputs)
     taken = {f.name.lower() for f in made}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
@@ -73,6 +90,8 @@ def add_columns(
         for out in task(feed()):
             columns = waiting.pop(0) + out
             yield pa.RecordBatch.from_arrays(columns, names=[f"k{i}" for i in range(n)] + [f"o{i}" for i in range(len(out))])
+        # The worker stays for other tasks; what this one needed goes back to the system.
+        pa.default_memory_pool().release_unused()
 
     result = source.mapInArrow(run, schema)
     return result.toDF(*kept, *[f.name for f in made])
