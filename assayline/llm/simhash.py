@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import add_columns, stage, text_or_empty
+from .frames import add_columns, bounded_batches, stage, text_or_empty
 
 WORDS, SEED, RADIUS = 4, 42, 4
 #: Up to so many fingerprints of one bucket are compared in a task; larger buckets go by flips.
@@ -167,6 +167,7 @@ def links(values: DataFrame, column: str = "fingerprint", radius: int = RADIUS,
         raise ValueError("the radius must be even")
     looks = [F.struct(F.lit(t).alias("tab"), F.col(column).bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(masks(radius))]
     rows = values.select(F.col(column).alias("value"), F.explode(F.array(*looks)).alias("x")).select("x.tab", "x.key", "value")
+    bounded_batches(values.sparkSession)
     placed = rows.repartition("tab", "key").sortWithinPartitions("tab", "key")
     found = stage(placed.mapInArrow(_link_task(radius, bucket), "a bigint, b bigint, tab int"), "links")
     return found.where("tab is null").select("a", "b").unionByName(_by_flips(found.where("tab is not null").select("tab", "a"), radius))
@@ -205,4 +206,6 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", radi
     labels = stage(components(links(nodes, "fingerprint", radius)), "labels")
     least = nodes.join(labels, nodes.fingerprint == labels.node).groupBy("component").agg(F.min("own").alias("least"))
     winners = nodes.join(labels, nodes.fingerprint == labels.node, "left_anti").select("own.number").unionByName(least.select("least.number"))
-    return rows.join(stage(winners, "winners"), "number", "left_semi").select("row.*")
+    # The rows to leave out are the shorter list, and only numbers travel to find them.
+    gone = rows.select("number").join(stage(winners, "winners"), "number", "left_anti")
+    return rows.join(stage(gone, "gone"), "number", "left_anti").select("row.*")
