@@ -24,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stage, text_or_empty
+from .frames import bounded_batches, stage, text_or_empty
 
 #: Tokens after which a chunk ends, with its text.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: The fifth of the texts that is not learned from, and the one that the weights are learned on.
 HELD_OUT, TUNED_ON = 1, 2
 #: Context frequencies are grouped by powers of two, up to this one.
@@ -335,6 +335,7 @@ def score(documents: DataFrame, key: str = "doc_id", text: str = "text", chunk_t
     text all estimates but the uniform one are zero.
     """
     fold = F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % 5
+    bounded_batches(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").cast("long"), text_or_empty(text), fold.cast("int"))
     chunks = stage(rows.mapInArrow(_chunk_task(chunk_tokens), "chunk long, keys array<long>, data binary"), "chunks")
     ranges = max(chunks.count(), 1)
