@@ -10,11 +10,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import slices, stage, text_or_empty
+from .frames import bounded_batches, slices, stage, text_or_empty
 
 WORDS, SIMILARITY, MIN_WORDS = 5, 0.8, 20
 BANDS, ROWS = 8, 2
@@ -147,25 +147,30 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd
     of each other like any others.  Paragraphs that are equal word for word are one node from the
     start, found with a combined aggregate; of the rest only those that meet in a band are compared.
     """
+    bounded_batches(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
     found = rows.mapInArrow(_find_task, "key long, paragraph int, n_words int, same long, bands array<bigint>, shingles binary")
     found = stage(found.withColumn("number", F.monotonically_increasing_id()), "paragraphs")
-    nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("number")), "nodes")
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "paragraph", "number")).alias("first")
+    nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node"), F.count("*").alias("n"), first), "nodes")
 
-    meets = nodes.select("same", "number", F.posexplode("bands").alias("band", "value"))
+    meets = nodes.select("node", F.posexplode("bands").alias("band", "value")).withColumn("n", F.count("*").over(Window.partitionBy("band", "value")))
+    meets = stage(meets.where("n > 1"), "meets")
     # A bucket counts once however many bands bring the same members together.
-    filled = meets.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("same").alias("low"), F.max("same").alias("high"), F.bit_xor(F.xxhash64("same")).alias("mix")).where("n > 1")
-    buckets = stage(filled.groupBy("n", "low", "high", "mix").agg(F.min(F.struct("band", "value")).alias("at")).select("at.band", "at.value"), "buckets")
-    members = meets.join(buckets, ["band", "value"]).select(F.xxhash64("band", "value").alias("bucket"), "same", "number")
-    sets = members.join(found.select("number", "shingles"), "number").select("bucket", "same", "shingles")
-    edges = sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task(crowd), "a bigint, b bigint")
-    labels = stage(components(edges), "labels")
-
-    named = found.drop("bands", "shingles").join(labels, found.same == labels.node, "left").withColumn("label", F.coalesce("component", "same"))
-    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "paragraph", "number")).alias("first")
-    groups = stage(named.groupBy("label").agg(F.count("*").alias("class_size"), first).where("class_size > 1"), "classes")
-    return named.join(groups, "label").select(
-        F.col("key").alias(key), "paragraph", "n_words", F.col("first.key").alias("class_id"), "class_size", (F.col("number") != F.col("first.number")).alias("removed"),
+    filled = meets.groupBy("band", "value").agg(F.max("n").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mix"))
+    buckets = filled.groupBy("n", "low", "high", "mix").agg(F.min(F.struct("band", "value")).alias("at")).select("at.band", "at.value")
+    members = meets.join(buckets, ["band", "value"]).select(F.xxhash64("band", "value").alias("bucket"), F.col("node").alias("number"))
+    # Merged at every size: the sets are the one large side, whatever the number of members.
+    sets = members.join(found.select("number", "shingles").hint("merge"), "number").select("bucket", "number", "shingles")
+    edges = stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task(crowd), "a bigint, b bigint"), "similar")
+
+    labels = components(edges).withColumnRenamed("node", "linked")
+    named = nodes.select("same", "node", "n", "first").join(labels, F.col("node") == F.col("linked"), "left").withColumn("label", F.coalesce("component", "node"))
+    named = stage(named.select("same", "n", "first", "label"), "labels")
+    groups = named.groupBy("label").agg(F.sum("n").alias("class_size"), F.min("first").alias("first")).where("class_size > 1")
+    repeated = stage(named.select("same", "label").join(groups, "label").select("same", "class_size", F.col("first.key").alias("class_id"), F.col("first.number").alias("kept")), "classes")
+    return found.select("key", "paragraph", "n_words", "same", "number").join(repeated, "same").select(
+        F.col("key").alias(key), "paragraph", "n_words", "class_id", "class_size", (F.col("number") != F.col("kept")).alias("removed"),
     )
 
 
