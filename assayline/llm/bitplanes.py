@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .frames import stage
+from .frames import bounded_batches, stage
 
 MAGIC = b"BITPLNS1"
 BLOCK_IDS = 1 << 16
@@ -133,6 +133,7 @@ def write(df: DataFrame, path: str, key: str = "doc_id", ids: str = "token_ids",
 
     Null ids are an empty sequence.  A task holds one file's ids.
     """
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.coalesce(F.col(f"`{ids}`"), F.lit(b"")).alias("ids"))
     files = rows.mapInArrow(_pack_task(unit, file_ids), "content binary")
     files.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
@@ -152,6 +153,7 @@ def read(spark: SparkSession, path: str, key: str = "doc_id", ids: str = "token_
                     names=["shard", "place", "position", "offset", "key", "ids"],
                 )
 
+    bounded_batches(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(run, "shard long, place long, position long, offset long, key long, ids binary").withColumnsRenamed({"key": key, "ids": ids})
 
