@@ -18,7 +18,7 @@ from .frames import bounded_batches, slices, stage, text_or_empty
 
 WORDS, SIMILARITY, MIN_WORDS = 5, 0.8, 20
 BANDS, ROWS = 8, 2
-#: Members of one bucket that are compared at a time; see ``_compare_task``.
+#: Members of one bucket that are compared at a time; see ``dealt``.
 CROWD = 20_000
 
 _seeds = np.random.default_rng(20).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -99,43 +99,40 @@ def forest(names: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare_task(crowd: int):
-    """Rows (bucket, name, shingles), bucket by bucket -> verified edges.
+def _compare_task(batches):
+    """Rows (bucket, name, shingles), bucket by bucket -> verified edges."""
+    bucket, names, sets, edges = None, [], [], []
 
-    A bucket of up to ``crowd`` different paragraphs is compared whole.  Of a larger one so many are
-    compared at a time; then half as many, spread evenly and with one of every class found, are
-    carried on and compared with the next ones.  No row is left out; two paragraphs far apart in a
-    crowd meet through those carried on, or in one of the other seven bands.
-    """
+    def ended():
+        if edges:
+            a, b = zip(*edges)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            edges.clear()
 
-    def run(batches):
-        bucket, names, sets, edges = None, [], [], []
-
-        def ended():
-            if edges:
-                a, b = zip(*edges)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-                edges.clear()
-
-        for batch in batches:
-            for b, name, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if b != bucket:
-                    edges += forest(names, sets)
-                    bucket, names, sets = b, [], []
-                elif len(names) >= crowd:
-                    found = forest(names, sets)
-                    edges += found
-                    linked = {y for _, y in found}
-                    roots = [i for i, n in enumerate(names) if n not in linked][: crowd // 4]
-                    picked = sorted({*roots, *range(0, len(names), 4)})
-                    names, sets = [names[i] for i in picked], [sets[i] for i in picked]
-                names.append(name)
-                sets.append(np.frombuffer(packed, np.uint32))
-            yield from ended()
-        edges += forest(names, sets)
+    for batch in batches:
+        for b, name, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if b != bucket:
+                edges += forest(names, sets)
+                bucket, names, sets = b, [], []
+            names.append(name)
+            sets.append(np.frombuffer(packed, np.uint32))
         yield from ended()
+    edges += forest(names, sets)
+    yield from ended()
+
 
-    return run
+def dealt(members: DataFrame, crowd: int) -> DataFrame:
+    """``bucket`` and ``number`` of rows band, value, n and number, no bucket of much more than ``crowd`` members.
+
+    A bucket of more is dealt by a hash into blocks of half a crowd, and every block meets every
+    other in a bucket of their own, so that each two members are compared in at least one of them.
+    Blocks depend on the members only, not on the order in which they arrive.
+    """
+    blocks = F.when(F.col("n") <= crowd, 1).otherwise(F.ceil(2 * F.col("n") / crowd)).cast("int")
+    own = members.select("band", "value", "number", blocks.alias("blocks"), F.pmod(F.xxhash64(F.col("number"), F.lit(1)), blocks).cast("int").alias("block"))
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block")))
+    pairs = own.withColumn("other", F.explode(others))
+    return pairs.select(F.xxhash64("band", "value", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "number")
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
@@ -159,10 +156,10 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd
     # A bucket counts once however many bands bring the same members together.
     filled = meets.groupBy("band", "value").agg(F.max("n").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mix"))
     buckets = filled.groupBy("n", "low", "high", "mix").agg(F.min(F.struct("band", "value")).alias("at")).select("at.band", "at.value")
-    members = meets.join(buckets, ["band", "value"]).select(F.xxhash64("band", "value").alias("bucket"), F.col("node").alias("number"))
+    members = dealt(meets.join(buckets, ["band", "value"]).withColumnRenamed("node", "number"), crowd)
     # Merged at every size: the sets are the one large side, whatever the number of members.
     sets = members.join(found.select("number", "shingles").hint("merge"), "number").select("bucket", "number", "shingles")
-    edges = stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task(crowd), "a bigint, b bigint"), "similar")
+    edges = stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task, "a bigint, b bigint"), "similar")
 
     labels = components(edges).withColumnRenamed("node", "linked")
     named = nodes.select("same", "node", "n", "first").join(labels, F.col("node") == F.col("linked"), "left").withColumn("label", F.coalesce("component", "node"))

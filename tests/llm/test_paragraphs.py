@@ -74,3 +74,18 @@ def test_repeated_rows_null_keys_and_empty_tables(spark):
     got = paragraphs.classes(df).collect()
     assert [r.class_size for r in got] == [3, 3, 3] and sum(r.removed for r in got) == 2 and {r.class_id for r in got} == {1}
     assert paragraphs.classes(documents(spark, [])).count() == 0
+
+
+def test_many_small_classes_in_a_crowd(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    common = [word() for _ in range(110)]
+    rows = []
+    for _ in range(150):
+        own = [word() for _ in range(20)]
+        rows += [" ".join(common + own), " ".join(common + own[:-1] + [word()])]
+    rng.shuffle(rows)
+    want = brute(list(enumerate(rows)))
+    assert len({r[2] for r in want}) == 150
+    got = paragraphs.classes(documents(spark, rows).repartition(3), crowd=24)
+    assert sorted((r.doc_id, r.paragraph, r.class_id, r.class_size, r.removed) for r in got.collect()) == want
