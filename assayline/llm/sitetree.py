@@ -220,6 +220,7 @@ def host_of(url: str | None) -> str:
 
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("branches", pa.list_(pa.int64()))]))
 _NODES = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.int64()), ("content", pa.int64())]))
+_SCHEMA = "host string, blocks array<struct<text:string,branches:array<bigint>>>, nodes array<struct<path:bigint,style:bigint,content:bigint>>, same bigint"
 
 
 def _task(columns):
@@ -227,7 +228,8 @@ def _task(columns):
         parsed = [parse(h) for h in pages.to_pylist()]
         blocks = [[{"text": t, "branches": b} for t, b in found] for found, _ in parsed]
         nodes = [[{"path": p, "style": s, "content": c} for p, (s, c) in own.items()] for _, own in parsed]
-        yield [pa.array(map(host_of, urls.to_pylist()), pa.string()), pa.array(blocks, _BLOCKS), pa.array(nodes, _NODES)]
+        same = [_hash("\n".join(t for t, _ in found)) for found, _ in parsed]
+        yield [pa.array(map(host_of, urls.to_pylist()), pa.string()), pa.array(blocks, _BLOCKS), pa.array(nodes, _NODES), pa.array(same, pa.int64())]
 
 
 def importance(nodes: DataFrame) -> DataFrame:
@@ -255,12 +257,10 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", column: str
     """
     kept = [c for c in pages.columns if c.lower() not in (column.lower(), html.lower())]
     whole = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text_or_empty(html).alias("page"), F.col(f"`{url}`").cast("string").alias("address"))
-    parsed = add_columns(
-        whole, [F.col("page"), F.col("address")], _task,
-        "host string, blocks array<struct<text:string,branches:array<bigint>>>, nodes array<struct<path:bigint,style:bigint,content:bigint>>", keep=["row"],
-    )
+    parsed = add_columns(whole, [F.col("page"), F.col("address")], _task, _SCHEMA, keep=["row"])
     parsed = stage(parsed, "pages")
-    nodes = parsed.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
+    # Pages of a host with the same text are one page: copies say nothing about what its pages share.
+    nodes = parsed.select("host", "same", F.explode("nodes").alias("n")).groupBy("host", "same", "n.path").agg(F.min("n").alias("n")).select("host", "n.*")
     # Only branches that many pages of a host share and that say nothing are listed with the host.
     poor = importance(nodes).where((F.col("n_pages") >= MIN_PAGES) & (F.col("importance") < IMPORTANT)).groupBy("host").agg(F.collect_set("path").alias("poor"))
     open_, clear = parsed.where(F.size("nodes") > 0), parsed.where(F.size("nodes") == 0)

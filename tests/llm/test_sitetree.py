@@ -56,6 +56,16 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in got.collect()} == {"T\nthe same text"}
 
 
+def test_copies_are_no_evidence(spark):
+    page = lambda text: f'<article><div class="c"><p>{text}</p></div><div class="d">share this</div></article>'
+    rows = [(i, "http://a.example/x", page("the one text")) for i in range(30)]
+    rows += [(100 + i, "http://a.example/y", page(f"another text {i}")) for i in range(10)]
+    rows += [(200 + i, "http://b.example/x", page("alone here")) for i in range(5)]
+    got = dict(sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    want = {i: "the one text" for i in range(30)} | {100 + i: f"another text {i}" for i in range(10)} | {200 + i: "alone here\nshare this" for i in range(5)}
+    assert got == want
+
+
 def test_importance(spark):
     rows = [("h", 1, 5, i) for i in range(8)] + [("h", 2, 5, 7)] * 8 + [("h", 3, 5, 1)] + [("h", 4, i, 7) for i in range(8)]
     got = {r.path: (r.n_pages, round(r.importance, 6)) for r in sitetree.importance(spark.createDataFrame(rows, "host string, path long, style long, content long")).collect()}
