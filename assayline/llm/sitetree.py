@@ -5,10 +5,12 @@ classes and ids.  Its importance mixes how much the presentation (the sequence o
 content (the words below it) differ from page to page, as entropies in units of the largest possible
 one.  Branches that look and read alike on a host's pages are removed from each of them.
 
-Markup comes first: what is inside an article (or else the main element) is text unless an element
-or its class, id or role says menu, advert, form, comment and so on; such branches go.  The tree
-decides on all other branches: divisions, sections, lists and tables inside the article, and
-everything else on pages that name no article.
+Every block with text is in the tree, headings and paragraphs included, with all branches that hold
+it.  A block is a leaf of its own as well, by its path and words: one that stands on many pages of
+the host says the less the more they are, whatever stands beside it under the same path.
+
+Markup is checked besides: what is outside an article (or else the main element), or in an element
+which, or whose class, id or role, says menu, advert, form, comment and so on, goes in any case.
 """
 
 from __future__ import annotations
@@ -49,8 +51,6 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-#: Inside an article the tree judges these; paragraphs, headings and the like are text.
-JUDGED = frozenset("div section ul ol dl table tbody tr center details figure".split())
 
 _token = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|</[^A-Za-z>][^>]*+(?:>|\Z)|</>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)(?:>|\Z)", re.S)
 _attribute = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -90,13 +90,13 @@ class _Open:
 
 
 def parse(html: str) -> tuple[list[tuple[str, tuple[int, ...]]], dict[int, tuple[int, int]]]:
-    """Blocks of the page (text, judged branches that hold it), and per branch its style and content.
+    """Blocks of the page (text, its leaf and the branches that hold it), and per branch its style and content.
 
     Tags may be left open or closed twice; character references are decoded; white space in a
     block becomes one space, and blocks without text are left out.
     """
     stack = [_Open("", "", False, 0, ())]
-    blocks: list[tuple[str, tuple[str, ...], int]] = []
+    blocks: list[tuple[str, tuple[str, ...], int, str]] = []
     styles: dict[str, list[str]] = {}
     held: list[str] = []
 
@@ -105,7 +105,7 @@ def parse(html: str) -> tuple[list[tuple[str, tuple[int, ...]]], dict[int, tuple
             top = stack[-1]
             text = " ".join("".join(held).split())
             if text:
-                blocks.append((text, top.judged, top.region))
+                blocks.append((text, top.judged, top.region, f"{top.path}\n{text}"))
             held.clear()
 
     def cut_to(depth):
@@ -196,15 +196,15 @@ def parse(html: str) -> tuple[list[tuple[str, tuple[int, ...]]], dict[int, tuple
         judged = top.judged
         if not (top.noise or noise):
             styles.setdefault(top.path, []).append(tag + label)
-            if tag in JUDGED or region < 2 and tag not in ("article", "main"):
+            if tag not in ("article", "main"):
                 judged = (*judged, path)
         if not found[3].endswith("/") or tag not in ("path", "circle", "rect", "use"):
             stack.append(_Open(tag, path, top.noise or noise, region, judged))
     close_block()
-    best = max((r for _, _, r in blocks), default=0)
-    kept = [(t, j) for t, j, r in blocks if r == best]
+    best = max((r for _, _, r, _ in blocks), default=0)
+    kept = [(t, (leaf, *j)) for t, j, r, leaf in blocks if r == best]
     content: dict[str, list[str]] = {}
-    for text, judged, _ in ((t, j, None) for t, j in kept):
+    for text, (_, *judged) in kept:
         for path in judged:
             content.setdefault(path, []).append(text)
     nodes = {_hash(p): (_hash(" ".join(styles.get(p, ()))), _hash("\n".join(t))) for p, t in content.items()}
@@ -249,6 +249,17 @@ def importance(nodes: DataFrame) -> DataFrame:
     return both.select("host", "path", "n_pages", mixed.alias("importance"))
 
 
+def repeated(leaves: DataFrame, pages: DataFrame) -> DataFrame:
+    """``host`` and ``path`` of leaves that say too little, from rows of host and leaf, once per page, and of hosts, once per page.
+
+    A leaf on c of n pages says log(n / c), in units of the log(n) of one that is on a single page.
+    """
+    often = leaves.groupBy("host", "leaf").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_PAGES)
+    sizes = pages.groupBy("host").agg(F.count("*").alias("n"))
+    says = CONTENT_SHARE * (1 - F.log("c") / F.log("n"))
+    return often.join(sizes, "host").where(says < IMPORTANT).select("host", F.col("leaf").alias("path"))
+
+
 def extract(pages: DataFrame, html: str = "html", url: str = "url", column: str = "text") -> DataFrame:
     """Add ``column``: the main text of each page, a line per block; empty if there is none.
 
@@ -261,9 +272,11 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", column: str
     parsed = stage(parsed, "pages")
     # Pages of a host with the same text are one page: copies say nothing about what its pages share.
     nodes = parsed.select("host", "same", F.explode("nodes").alias("n")).groupBy("host", "same", "n.path").agg(F.min("n").alias("n")).select("host", "n.*")
-    # Only branches that many pages of a host share and that say nothing are listed with the host.
-    poor = importance(nodes).where((F.col("n_pages") >= MIN_PAGES) & (F.col("importance") < IMPORTANT)).groupBy("host").agg(F.collect_set("path").alias("poor"))
-    open_, clear = parsed.where(F.size("nodes") > 0), parsed.where(F.size("nodes") == 0)
+    leaves = parsed.select("host", "same", F.explode(F.transform("blocks", lambda b: b.branches[0])).alias("leaf")).distinct()
+    # Only branches and leaves that many pages of a host share and that say nothing are listed with the host.
+    alike = importance(nodes).where((F.col("n_pages") >= MIN_PAGES) & (F.col("importance") < IMPORTANT)).select("host", "path")
+    poor = alike.unionByName(repeated(leaves, parsed.select("host", "same").distinct())).groupBy("host").agg(F.collect_set("path").alias("poor"))
+    open_, clear = parsed.where(F.size("blocks") > 0), parsed.where(F.size("blocks") == 0)
     judged = open_.join(stage(poor, "branches"), "host", "left").withColumn(
         "blocks", F.when(F.col("poor").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: ~F.arrays_overlap(b.branches, F.col("poor"))))
     )

@@ -66,6 +66,16 @@ def test_copies_are_no_evidence(spark):
     assert got == want
 
 
+def test_paragraphs_repeated_on_a_host_are_removed(spark):
+    end = "Follow us for more like this."
+    body = lambda i: [f"first words of {i}", f"more of page {i}", *(["a middle one"] if i % 3 else [])]
+    page = lambda i: "<article><h1>Title {}</h1>{}</article>".format(i, "".join(f"<p>{t}</p>" for t in [*body(i)[: i % 3], end, *body(i)[i % 3 :]]))
+    rows = [(i, "http://a.example/x", page(i)) for i in range(40)] + [(100, "http://b.example/x", page(1))]
+    got = dict(sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    assert got.pop(100) == "\n".join(["Title 1", body(1)[0], end, *body(1)[1:]])
+    assert got == {i: "\n".join(t for t in [f"Title {i}", *body(i)] if t != "a middle one") for i in range(40)}
+
+
 def test_importance(spark):
     rows = [("h", 1, 5, i) for i in range(8)] + [("h", 2, 5, 7)] * 8 + [("h", 3, 5, 1)] + [("h", 4, i, 7) for i in range(8)]
     got = {r.path: (r.n_pages, round(r.importance, 6)) for r in sitetree.importance(spark.createDataFrame(rows, "host string, path long, style long, content long")).collect()}
