@@ -116,6 +116,19 @@ def blanked(text: Column, kind: str) -> Column:
     return F.when(text.rlike(NEED[kind]), F.array_join(F.transform(parts(text, EXACT[kind]), one), "")).otherwise(text)
 
 
+def overlaid(one: Column, other: Column) -> Column:
+    """Two texts of the same characters, zeros where either has them; only lines with zeros in both are taken apart."""
+
+    def characters(a: Column, b: Column) -> Column:
+        return F.array_join(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(y == "\0", y).otherwise(x)), "")
+
+    def lines(a: Column, b: Column) -> Column:
+        return F.when((a == b) | ~F.contains(b, F.lit("\0")), a).when(~F.contains(a, F.lit("\0")), b).otherwise(characters(a, b))
+
+    whole = F.array_join(F.zip_with(F.split(one, "\n"), F.split(other, "\n"), lines), "\n")
+    return F.when((one == other) | ~F.contains(other, F.lit("\0")), one).when(~F.contains(one, F.lit("\0")), other).otherwise(whole)
+
+
 def _digits(body: Column) -> Column:
     return F.regexp_replace(body, "[^0-9]", "")
 
@@ -175,7 +188,8 @@ def candidates(text: Column) -> Column:
     """All candidates of a text: the base spans by kind and start, then those of the wide patterns.
 
     The verdict is 1 for base spans, 0 for what cannot be what it looks like and null for the rest.
-    The wide patterns search the text without its base spans, so nothing is proposed twice.
+    The wide patterns search the text without its base spans, so nothing is proposed twice.  The base
+    spans of every kind are those of the whole text, and only they are hidden.
     """
     kind_of = "struct<start:bigint,stop:bigint,kind:int,verdict:int," + ",".join(f"{f}:int" for f in FEATURES) + ">"
     none = F.array().cast(f"array<{kind_of}>")
@@ -188,7 +202,7 @@ def candidates(text: Column) -> Column:
 
     def every(whole: Column) -> Column:
         exact = [F.filter(of(whole, k, EXACT, lambda kind, body: F.when(_valid(kind, body), 1)), lambda c: c.verdict == 1) for k in KINDS]
-        rest = reduce(lambda t, k: bound(t, lambda x: blanked(x, k)), KINDS, whole)
+        rest = reduce(lambda t, k: bound(F.array(t, blanked(whole, k)), lambda x: overlaid(x[0], x[1])), KINDS[1:], blanked(whole, KINDS[0]))
         wide = bound(rest, lambda t: F.concat(*[of(t, k, WIDE, lambda kind, body: F.when(~_possible(kind, body), 0)) for k in KINDS]))
         return F.concat(*exact, wide)
 
@@ -320,12 +334,12 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def cut_out(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the earliest, then longest, stays."""
+    """The text with each span replaced by its kind in brackets; overlapping spans go as one, under the kind of the earliest, then longest."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     in_order = F.array_sort(F.transform(spans, lambda s: F.struct(s.start.alias("start"), (-s.stop).alias("back"), s.kind.alias("kind"))))
     pieces = F.aggregate(
         in_order, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda state, s: F.when(s.start < state.at, state).otherwise(F.struct(
+        lambda state, s: F.when(s.start < state.at, F.struct(F.greatest(state.at, -s.back).alias("at"), state.out.alias("out"))).otherwise(F.struct(
             (-s.back).alias("at"),
             F.array_append(F.array_append(state.out, F.substring(text, (state.at + 1).cast("int"), (s.start - state.at).cast("int"))), F.get(names, s.kind)).alias("out"),
         )),

@@ -5,6 +5,7 @@ import random
 import re
 
 from llm.fixtures import documents, folder
+from pyspark.sql import functions as F
 
 from assayline.llm import pii, queries
 
@@ -90,6 +91,21 @@ def test_redaction_keeps_everything_else(spark):
     assert [tuple(r) for r in pii.redact(df).orderBy("doc_id").collect()] == [(1, "é [EMAIL], [IP]!", "x", 3), (2, None, "y", 4), (3, "clean", "z", 5)]
 
 
+def test_neighbours_of_other_kinds_are_not_hidden(spark):
+    texts = ["𝄞 10.0.0.1 4111 1111 1111 1111\na@b.c 10.0.0.1", "a@b.c +1 234 567 8901\n\n10.0.0.2"]
+    rows = documents(spark, texts).select("doc_id", "text", pii.candidates(F.col("text")).alias("c")).orderBy("doc_id").collect()
+    got = [[(pii.KINDS[c.kind], r.text[c.start : c.stop], c.verdict) for c in r.c] for r in rows]
+    assert ("card", "4111 1111 1111 1111", None) in got[0]
+    assert [c for c in got[0] if c[2] == 1] == [("email", "a@b.c", 1), ("ip", "10.0.0.1", 1), ("ip", "10.0.0.1", 1)]
+    assert got[1] == [("email", "a@b.c", 1), ("ip", "10.0.0.2", 1), ("phone", "+1 234 567 8901", 1)]
+
+
+def test_overlapping_spans_leave_no_tail(spark):
+    spans = [(1, 1, 10), (2, 8, 25), (0, 3, 5), (3, 26, 28)]
+    df = spark.createDataFrame([("(10.0.0.18 4111 1111 1111b cd", spans), ("none", [])], "text string, spans array<struct<kind:int,start:bigint,stop:bigint>>")
+    assert [r[0] for r in df.select(pii.cut_out(df.text, df.spans)).collect()] == ["([IP]b[PHONE]d", "none"]
+
+
 def test_running_sums(spark):
     rows = [(list(range(n)),) for n in (0, 1, 2, 255, 256, 257, 513, 1000)]
     df = spark.createDataFrame(rows, "x array<bigint>")
