@@ -135,6 +135,45 @@ def dealt(members: DataFrame, crowd: int) -> DataFrame:
     return pairs.select(F.xxhash64("band", "value", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "number")
 
 
+def similar(found: DataFrame, nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Verified edges (a, b) between nodes that meet in a band; ``nodes`` holds node and bands, ``found`` number and shingles."""
+    meets = nodes.select("node", F.posexplode("bands").alias("band", "value")).withColumn("n", F.count("*").over(Window.partitionBy("band", "value")))
+    meets = stage(meets.where("n > 1"), "meets")
+    # A bucket counts once however many bands bring the same members together.
+    filled = meets.groupBy("band", "value").agg(F.max("n").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mix"))
+    buckets = filled.groupBy("n", "low", "high", "mix").agg(F.min(F.struct("band", "value")).alias("at")).select("at.band", "at.value")
+    members = dealt(meets.join(buckets, ["band", "value"]).withColumnRenamed("node", "number"), crowd)
+    # Merged at every size: the sets are the one large side, whatever the number of members.
+    sets = members.join(found.select("number", "shingles").hint("merge"), "number").select("bucket", "number", "shingles")
+    return stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task, "a bigint, b bigint"), "similar")
+
+
+def _whole_task(batches):
+    schema = pa.schema([("key", pa.int64()), ("same", pa.int64()), ("bands", pa.list_(pa.int64())), ("shingles", pa.binary())])
+    for batch in batches:
+        for part in slices(batch, 1):
+            split = [(key, text.lower().split()) for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist())]
+            keys, texts = [k for k, words in split if words], [words for _, words in split if words]
+            same = [xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63) for words in texts]
+            sets = [shingles(words) if len(words) >= WORDS else np.array([xxhash.xxh32_intdigest(b" ".join(words))], np.uint32) for words in texts]
+            bands = pa.FixedSizeListArray.from_arrays(pa.array(bands_of(sets).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(same, pa.int64()), bands, pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+
+
+def alike(documents: DataFrame, key: str, text: str, crowd: int = CROWD) -> DataFrame:
+    """Edges (a, b) of the keys (long) of whole texts that are similar, found and verified like paragraphs.
+
+    Texts that are equal word for word must have equal keys.  Texts without words have no edge.
+    """
+    bounded_batches(documents.sparkSession)
+    rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
+    found = stage(rows.mapInArrow(_whole_task, "key long, same long, bands array<bigint>, shingles binary").withColumn("number", F.monotonically_increasing_id()), "texts")
+    nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node")), "nodes")
+    named = [found.select(F.col("number").alias(end), F.col("key").alias(f"key_{end}")) for end in ("a", "b")]
+    edges = similar(found, nodes, crowd).join(named[0], "a").join(named[1], "b")
+    return edges.where("key_a <> key_b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+
+
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """All paragraphs with another one like them, in whatever document.
 
@@ -151,16 +190,7 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd
     first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "paragraph", "number")).alias("first")
     nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node"), F.count("*").alias("n"), first), "nodes")
 
-    meets = nodes.select("node", F.posexplode("bands").alias("band", "value")).withColumn("n", F.count("*").over(Window.partitionBy("band", "value")))
-    meets = stage(meets.where("n > 1"), "meets")
-    # A bucket counts once however many bands bring the same members together.
-    filled = meets.groupBy("band", "value").agg(F.max("n").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mix"))
-    buckets = filled.groupBy("n", "low", "high", "mix").agg(F.min(F.struct("band", "value")).alias("at")).select("at.band", "at.value")
-    members = dealt(meets.join(buckets, ["band", "value"]).withColumnRenamed("node", "number"), crowd)
-    # Merged at every size: the sets are the one large side, whatever the number of members.
-    sets = members.join(found.select("number", "shingles").hint("merge"), "number").select("bucket", "number", "shingles")
-    edges = stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task, "a bigint, b bigint"), "similar")
-
+    edges = similar(found, nodes, crowd)
     labels = components(edges).withColumnRenamed("node", "linked")
     named = nodes.select("same", "node", "n", "first").join(labels, F.col("node") == F.col("linked"), "left").withColumn("label", F.coalesce("component", "node"))
     named = stage(named.select("same", "n", "first", "label"), "labels")

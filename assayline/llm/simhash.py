@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .frames import add_columns, bounded_batches, stage, text_or_empty
+from .paragraphs import alike
 
 WORDS, SEED, RADIUS = 4, 42, 4
 #: Up to so many fingerprints of one bucket are compared in a task; larger buckets go by flips.
@@ -192,9 +193,11 @@ def hexadecimal(column: Column) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, similar: bool = False) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest key, of equal ones the first written.
 
+    With ``similar`` texts whose five-word shingles have a Jaccard similarity of 0.8 are linked too,
+    however many bits of their fingerprints differ.
     Documents without words are one group like any other.  Rows are written once with a number of
     their own, so that rows that are equal in every column are told apart.
     """
@@ -203,7 +206,10 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", radi
     rows = stage(with_fingerprint(whole).drop("text").withColumn("number", F.monotonically_increasing_id()), "rows")
     nodes = rows.groupBy("fingerprint").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "number")).alias("own"))
     nodes = stage(nodes, "fingerprints")
-    labels = stage(components(links(nodes, "fingerprint", radius)), "labels")
+    edges = links(nodes, "fingerprint", radius)
+    if similar:
+        edges = edges.unionByName(alike(rows.select("fingerprint", F.col("row")[text].alias("text")), "fingerprint", "text"))
+    labels = stage(components(edges), "labels")
     least = nodes.join(labels, nodes.fingerprint == labels.node).groupBy("component").agg(F.min("own").alias("least"))
     winners = nodes.join(labels, nodes.fingerprint == labels.node, "left_anti").select("own.number").unionByName(least.select("least.number"))
     # The rows to leave out are the shorter list, and only numbers travel to find them.

@@ -24,8 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group, the one with the smallest id; fingerprints or five-word shingles make a group."""
+    return simhash.keep_one(docs, similar=True)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

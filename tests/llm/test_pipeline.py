@@ -79,3 +79,19 @@ def test_all_queries_are_registered():
     assert public_tokenizers.path("byte_bpe_50k.json")
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+
+
+def test_similar_documents_far_apart_in_bits_are_one_group(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 8)))
+    texts, far = [], 0
+    for _ in range(40):
+        body = [word() for _ in range(100)]
+        texts += [" ".join(body), " ".join([*body[:50], word(), *body[51:-2], word(), word()])]
+        a, b = map(plain_fingerprint, texts[-2:])
+        far += (a ^ b).bit_count() > 4
+    assert far > 10
+    texts += ["few words", "Few  words", "few others", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(0, 80, 2), 80, 82, 83]
