@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayline import session
 
-from . import bitplanes, bpe, bytecnn, contamination, interpolation, paragraphs, pii, repetition, simhash, sitetree, tokens
+from . import bitplanes, bpe, bytecnn, contamination, fragments, interpolation, merkle, paragraphs, pii, repetition, simhash, sitetree, spelling, tokens, twins
 from .frames import held_out, stage, table
 from .registry import ORACLES, QUERIES, register
 
@@ -90,3 +90,19 @@ def decontamination(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@register("op11_ngram_join", twins.NGRAM_JOIN)
+def similar_texts(spark, sf_dir):
+    return fragments.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op12_merkle_manifest", twins.MERKLE)
+def merkle_manifest(spark, sf_dir):
+    proved = merkle.proofs(merkle.manifest(table(spark, sf_dir, "documents")))
+    return proved.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@register("op13_spelling_variants", twins.SPELLING)
+def spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text")).select("word", "form", "root", "n", "n_near", "form_n")
