@@ -14,7 +14,6 @@ over a few rounds, and whoever is already in one component is not compared again
 
 from __future__ import annotations
 
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,10 @@ from .frames import add_columns, stage, text_or_empty
 
 WORDS, PERCENT = 5, 80
 #: Equal ranges of the n-gram order; the first HEAD of them decide which texts are read again.
-FRAGMENTS, HEAD = 16, 4
-#: Buckets of more members are compared through PIVOTS of them at a time, in ROUNDS at most before
-#: whatever is undecided is paired.
-CROWD, PIVOTS, ROUNDS = 16, 4, 6
+FRAGMENTS, HEAD = 16, 5
+#: Buckets of more members than CROWD are compared through PIVOTS of them first, which a member meets
+#: in PICKS of its buckets, in ROUNDS at most before whatever is undecided is paired.
+CROWD, PIVOTS, PICKS, ROUNDS = 8, 16, 2, 4
 
 _BITS = FRAGMENTS.bit_length() - 1
 
@@ -61,12 +60,13 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _measure_task(parts):
-    """Texts -> size and identity of the set, and its n-grams in the first fragments."""
+    """Texts -> size and identity (128 bits, and 64 of them) of the set, and its n-grams in the first fragments."""
     end = np.uint64(HEAD << (64 - _BITS))
     for (texts,) in parts:
         sets = [shingles(t) for t in _texts(texts)]
         same = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        yield [pa.array([len(s) for s in sets], pa.int64()), pa.array(same, pa.binary()), _lists([s[: np.searchsorted(s, end)] for s in sets])]
+        short = [None if s is None else int.from_bytes(s[:8], "big", signed=True) for s in same]
+        yield [pa.array([len(s) for s in sets], pa.int64()), pa.array(same, pa.binary()), pa.array(short, pa.int64()), _lists([s[: np.searchsorted(s, end)] for s in sets])]
 
 
 def _set_task(parts):
@@ -75,25 +75,30 @@ def _set_task(parts):
 
 
 def measured(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``number`` (unique), ``text_id``, ``n_shingles``, ``same`` (null without words) and ``head`` of each row."""
+    """``key``, ``number`` (unique), ``text_id``, ``n_shingles``, ``same`` and ``short`` (null without words) and ``head`` of each row."""
     body = text_or_empty(text)
     rows = documents.select(F.col(f"`{key}`").alias("key"), F.unhex(F.md5(body)).alias("text_id"), body.alias("text"))
-    found = add_columns(rows, [F.col("text")], _measure_task, "n_shingles bigint, same binary, head array<bigint>", ["key", "text_id"])
+    found = add_columns(rows, [F.col("text")], _measure_task, "n_shingles bigint, same binary, short bigint, head array<bigint>", ["key", "text_id"])
     return stage(found.withColumn("number", F.monotonically_increasing_id()), "sets")
 
 
 def hopeful(sets: DataFrame) -> DataFrame:
-    """One row (node, n, text_id) for each distinct set that the first fragments leave a chance.
+    """One row (node, n, text_id, copies) for each distinct set that the first fragments leave a chance.
 
-    An n-gram that only one row has counts against that row.  Rows with equal sets share all of
-    theirs, so they stay until sets are counted instead of rows.
+    An n-gram that only one set has counts against that set.  Sets go by 64 bits of their identity
+    here; where two share these, which the full identity shows, neither is judged.
     """
-    grams = sets.select("number", F.explode("head").alias("gram"))
-    alone = grams.groupBy("gram").agg(F.min("number").alias("number"), F.max("number").alias("last")).where("number = last")
-    lost = alone.groupBy("number").agg(F.count("*").alias("lost")).withColumnRenamed("number", "node")
-    nodes = sets.where("same is not null").groupBy("same").agg(F.min("number").alias("node"), F.max("n_shingles").alias("n"), F.min("text_id").alias("text_id"))
-    judged = nodes.join(lost, "node", "left").where((100 - PERCENT) * F.col("n") >= 100 * F.coalesce("lost", F.lit(0)))
-    return stage(judged.select("node", "n", "text_id"), "hopeful")
+    grams = sets.select("short", F.explode("head").alias("gram"))
+    alone = grams.groupBy("gram").agg(F.min("short").alias("short"), F.max("short").alias("last")).where("short = last")
+    lost = alone.groupBy("short").agg(F.count("*").alias("lost"))
+    of = sets.where("same is not null").groupBy("same").agg(
+        F.min("short").alias("short"), F.min("number").alias("node"), F.max("n_shingles").alias("n"), F.min("text_id").alias("text_id"), F.count("*").alias("copies"),
+    )
+    clash = of.groupBy("short").agg(F.count("*").alias("sets")).where("sets > 1").select("short", F.lit(True).alias("clash"))
+    nodes = stage(of, "distinct")
+    judged = nodes.join(lost, "short", "left").join(clash, "short", "left")
+    kept = judged.where(F.col("clash") | ((100 - PERCENT) * F.col("n") >= 100 * F.coalesce("lost", F.lit(0))))
+    return stage(kept.select("node", "n", "text_id", "copies"), "hopeful")
 
 
 def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
@@ -103,11 +108,13 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
     in the order, are in no overlap, and so only make the prefix shorter.
     """
     body = text_or_empty(text)
-    rows = documents.select(F.unhex(F.md5(body)).alias("text_id"), body.alias("text")).join(nodes.select("text_id").distinct(), "text_id", "left_semi")
-    once = rows.groupBy("text_id").agg(F.first("text").alias("text")).join(nodes, "text_id")
+    rows = documents.select(F.unhex(F.md5(body)).alias("text_id"), body.alias("text")).join(nodes, "text_id")
+    # Only of texts that may come several times is one chosen, so that the others are not moved.
+    several = rows.where("copies > 1").groupBy("text_id", "node", "n").agg(F.first("text").alias("text"))
+    once = rows.where("copies = 1").select("node", "n", "text").unionByName(several.select("node", "n", "text"))
     sets = stage(add_columns(once, [F.col("text")], _set_task, "grams array<bigint>", ["node", "n"]), "grams")
     grams = sets.select("node", "n", F.explode("grams").alias("gram"))
-    counts = stage(grams.groupBy("gram").agg(F.count("*").alias("found")).where("found > 1"), "frequencies")
+    counts = stage(grams.groupBy("gram").agg(F.count("*").cast("int").alias("found")).where("found > 1"), "frequencies")
     rarest = grams.join(counts, "gram").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("found", "gram"))).alias("grams"))
     kept = rarest.withColumn("least", F.expr(f"(n * {PERCENT} + 99) div 100")).where("size(grams) >= least")
     ordered = kept.withColumn("grams", F.col("grams.gram"))
@@ -118,10 +125,13 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Partial overlaps of each pair (a, n_a, b, n_b): one row per fragment that both have n-grams in."""
+    """Partial overlaps of each pair (a, n_a, b, n_b): one row per fragment that both have n-grams in.
+
+    Merged at every size: pairs and segments both grow with the input.
+    """
     segments = parts.select("node", F.posexplode("segments").alias("fragment", "grams")).where("size(grams) > 0")
     left, right = (segments.select(F.col("node").alias(end), "fragment", F.col("grams").alias(f"grams_{end}")) for end in "ab")
-    return pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
+    return pairs.hint("merge").join(left, "a").join(right.hint("merge"), ["b", "fragment"]).select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
 
 
 def linked(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -150,11 +160,18 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("o_node").alias("b"), F.col("o_n").alias("n_b")).distinct()
 
 
-def _pivots(members: DataFrame, turn: int, pivots: int) -> DataFrame:
-    """Some members of each bucket: the least of each class of a hash that changes with the turn."""
+def _star(members: DataFrame, turn: int, pivots: int) -> DataFrame:
+    """Pairs of members and pivots: each member in PICKS of its buckets, the largest, or as the turn draws them.
+
+    The pivots of a bucket are the least of each class of a hash that changes with the turn.
+    """
+    drawn = F.xxhash64("gram", F.lit(turn))
+    order = F.struct("members", "gram") if not turn else F.struct(drawn.alias("drawn"), "gram")
+    picked = members.groupBy("node", "n", "component", F.pmod(drawn, F.lit(PICKS)).alias("of")).agg(F.max(order).alias("pick"))
+    picked = stage(picked.select("node", "n", "component", "pick.gram"), "picked")
     mixed = F.xxhash64("node", F.lit(turn))
-    least = members.groupBy("gram", F.pmod(mixed, F.lit(pivots)).alias("of")).agg(F.min(F.struct(mixed.alias("mixed"), "node", "n", "component")).alias("pivot"))
-    return least.select("gram", "pivot.node", "pivot.n", "pivot.component")
+    least = picked.groupBy("gram", F.pmod(mixed, F.lit(pivots)).alias("of")).agg(F.min(F.struct(mixed.alias("mixed"), "node", "n", "component")).alias("pivot"))
+    return _pairs(picked, least.select("gram", "pivot.node", "pivot.n", "pivot.component"))
 
 
 def _undecided(members: DataFrame) -> tuple[int, int]:
@@ -168,36 +185,30 @@ def _undecided(members: DataFrame) -> tuple[int, int]:
 def links(parts: DataFrame, crowd: int = CROWD, pivots: int = PIVOTS, rounds: int = ROUNDS) -> DataFrame:
     """``node`` and ``component``: the components of all similar pairs, and no other.
 
-    Small buckets are paired.  In a large one every member meets a few pivots in each round, so the
+    Small buckets are paired.  Of large ones every member meets a few pivots in each round, so the
     rows grow with the members; most of a large group of near copies is one component after that.
     Members that are not, whichever bucket they are in, meet all of it in the end: no pair that
     could join two components is left out.
     """
     met = parts.select("node", "n", F.explode("prefix").alias("gram"))
     sizes = met.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(met.join(sizes, "gram"), "buckets")
-    tested: list[DataFrame] = []
-    edges: list[DataFrame] = []
-
-    def count(pairs: DataFrame) -> DataFrame:
-        for earlier in tested:
-            pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
-        tested.append(stage(pairs, "pairs"))
-        edges.append(stage(linked(tested[-1], parts), "links"))
-        return stage(components(reduce(DataFrame.unionByName, edges)), "components")
-
-    first = members.withColumn("component", F.col("node"))
-    large = first.where(F.col("members") > crowd)
-    labels = count(_all_pairs(first.where(F.col("members") <= crowd)).unionByName(_pairs(large, _pivots(large, 0, pivots))).distinct())
+    members = stage(met.join(sizes, "gram").withColumn("component", F.col("node")), "buckets")
+    large = members.where(F.col("members") > crowd)
+    pairs = stage(_all_pairs(members.where(F.col("members") <= crowd)).unionByName(_star(large, 0, pivots)).distinct(), "pairs")
+    tested = pairs.select("a", "b")
+    labels = stage(components(linked(pairs, parts)), "components")
     for turn in range(1, rounds + 1):
-        named = members.where(F.col("members") > crowd).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = large.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = named.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-        large = stage(named.join(mixed, "gram", "left_semi"), "undecided")
-        n, pairs = _undecided(large)
-        if not pairs:
+        large = stage(named.join(mixed, "gram", "left_semi").select(*large.columns), "undecided")
+        n, open_pairs = _undecided(large)
+        if not open_pairs:
             break
-        last = turn == rounds or pairs <= 2 * pivots * n
-        labels = count(_all_pairs(large) if last else _pairs(large, _pivots(large, turn, pivots)))
+        last = turn == rounds or open_pairs <= 4 * pivots * n
+        fresh = stage((_all_pairs(large) if last else _star(large, turn, pivots)).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(fresh.select("a", "b"))
+        joins = linked(fresh, parts).unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = stage(components(joins), "components")
         if last:
             break
     return labels
