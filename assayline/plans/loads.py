@@ -62,7 +62,7 @@ MEASUREMENT_CODES = (
 )
 
 # Columns that the reader adds and that are not part of a release.
-PLUMBING = ("release", "file", "file_path", "block", "position", "nr_cols", "file_id", "filetype", "measurement_nr")
+PLUMBING = ("release", "file", "file_path", "block", "position", "nr_cols", "nr_cells", "file_id", "filetype", "measurement_nr")
 
 
 class Loaded(NamedTuple):

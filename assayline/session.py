@@ -93,6 +93,20 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Runtime settings (dots spelled as ``__``) for what runs inside; the earlier ones come back."""
+    names = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 
