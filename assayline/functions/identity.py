@@ -29,6 +29,16 @@ def canonical_number(c: Column) -> Column:
     return F.when(led == "-0", "0").otherwise(led)
 
 
+def number_text(c: Column) -> Column:
+    """``canonical_number`` of a column of type double, without looking at its text where it is whole.
+
+    Whole numbers below 2^53 are spelled as integers; only others, rare among identifiers, go through
+    the text rules.
+    """
+    whole = (c == F.floor(c)) & (F.abs(c) < 2**53)
+    return F.when(whole, c.cast("bigint").cast("string")).otherwise(canonical_number(c))
+
+
 def tuple_text(columns: Iterable[Column]) -> Column:
     """Text that is equal exactly when two tuples are equal, null matching null.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,21 @@ def cast_by_registry(df: DataFrame, datatypes: dict[str, str], skip: Sequence[st
     return df.select(*[cast(c) for c in df.columns])
 
 
+def lost_cells(df: DataFrame, datatypes: dict[str, str], skip: Sequence[str] = ()) -> Column:
+    """The cells (``column``, ``value``) of a row whose text is not the number it should be; null if there is none.
+
+    The list is only made for rows that have one.
+    """
+    numbers = [c for c in string_columns(df) if "number" in datatypes.get(c, "") and c not in skip]
+    bad = {c: F.col(c).isNotNull() & F.col(c).try_cast("double").isNull() for c in numbers}
+    cells = F.array(*[F.when(b, F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c, b in bad.items()])
+    none = F.lit(None).cast("array<struct<column:string,value:string>>")
+    if not numbers:
+        return none
+    anywhere = reduce(lambda a, b: a | b, bad.values())
+    return F.when(anywhere, F.filter(cells, lambda x: x.isNotNull())).otherwise(none)
+
+
 def malformed_numbers(df: DataFrame, datatypes: dict[str, str]) -> DataFrame:
     """Texts in number columns that are not numbers, with how often they occur."""
     numbers = [c for c in string_columns(df) if "number" in datatypes.get(c, "")]

@@ -13,13 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def one_per_code(dictionary: DataFrame, key: str = "termcode") -> DataFrame:
+    """``key`` and ``id``, the least one of a code that is listed twice: coding must not multiply rows."""
+    return dictionary.groupBy(key).agg(F.min("id").alias("id"))
+
+
 def encode(df: DataFrame, codes: Sequence[tuple[str, DataFrame, str]], key: str = "termcode") -> DataFrame:
     """Replace codes by dictionary ids: ``(code column, dictionary, id column)`` per code.
 
-    The same dictionary may be used under several roles.  An unknown code gives a null id.
+    The same dictionary may be used under several roles.  An unknown code gives a null id, and a
+    code that is listed twice its least id.
     """
     for code, dictionary, id_col in codes:
-        side = dictionary.select(F.col(key).alias(f"_{id_col}_key"), F.col("id").alias(id_col))
+        side = one_per_code(dictionary, key).select(F.col(key).alias(f"_{id_col}_key"), F.col("id").alias(id_col))
         df = df.join(side, F.col(code) == F.col(f"_{id_col}_key"), "left").drop(f"_{id_col}_key")
     return df
 
@@ -37,7 +43,7 @@ def resolve_product(df: DataFrame, code: str, mtx: DataFrame, matrix: DataFrame,
     # The rows are joined to one stored dictionary after the other.  Joining dictionaries to
     # each other first would hide their sizes, since a join is estimated as a product.
     for name, dictionary in (("mtx", mtx), ("matrix", matrix)):
-        terms = dictionary.select(F.col("termcode").alias("_code"), F.col("id").alias(f"_{name}"))
+        terms = one_per_code(dictionary).select(F.col("termcode").alias("_code"), F.col("id").alias(f"_{name}"))
         entries = products.select(F.col(f"{name}_id").alias("_entry"), F.col("id").alias(f"_{name}_product"))
         df = df.join(terms, F.col(code) == F.col("_code"), "left").join(entries, F.col(f"_{name}") == F.col("_entry"), "left").drop("_code", "_entry")
     chosen = F.when(F.col("_mtx").isNotNull(), F.col("_mtx_product")).otherwise(F.col("_matrix_product"))

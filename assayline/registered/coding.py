@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import compare, dims, inserts, reshape
-from ..plans import star
+from ..plans import loads, star
 from ..session import materialise
-from ..sources.catalogues import load_catalogue, product_catalogue, union_catalogues
+from ..sources.catalogues import ingest_catalogue, load_catalogue, product_catalogue, union_catalogues
 from . import standin as st
 from .registry import query
 
@@ -99,6 +99,14 @@ def catalogue_load(spark, sf):
     return load_catalogue(sheet)
 
 
+@query("catalogue_refused", """SELECT 'c-' || o_custkey AS termcode, lower(o_orderpriority) AS termextendedname FROM orders
+QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1""")
+def catalogue_refused(spark, sf):
+    """Entries of a sheet whose code stands more than once."""
+    sheet = st.table(spark, sf, "orders").select(F.concat(F.lit("C-"), F.col("o_custkey")).alias("TermCode"), F.col("o_orderpriority").alias("TermExtendedName"))
+    return ingest_catalogue(sheet).refused
+
+
 # --- views ----------------------------------------------------------------------------
 
 
@@ -209,6 +217,43 @@ def measurement_insert(spark, sf):
     return inserts.new_measurements(_batch(spark, sf), _catalogue(spark, sf), _stored(spark, sf)).select(*RESULT)
 
 
+# The same batch with the file of each sample and a number of each row.
+_NR = "concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER), strftime(l_shipdate, '%Y%m%d'), CAST(round(l_extendedprice * 100) AS BIGINT))"
+JUDGED_SQL = f"""{BATCH_SQL.replace("l_shipdate FROM lineitem)", f"l_shipdate, l_orderkey % 40 AS file_id, {_NR} AS measurement_nr FROM lineitem)")},
+  judged AS (SELECT b.sample_core_id, b.code, c.id AS param_id, b.resid, b.resval, b.file_id, b.measurement_nr,
+    CASE WHEN c.id IS NULL THEN 'unknown_param'
+      WHEN b.code = 'rf-xxxx-xxx-xxx' AND b.sample_core_id IN (SELECT sample_core_id FROM target) THEN 'stored'
+      WHEN b.code <> 'rf-xxxx-xxx-xxx' AND EXISTS (SELECT 1 FROM target t WHERE t.sample_core_id = b.sample_core_id AND t.param_id = c.id AND t.resid = b.resid) THEN 'stored'
+      WHEN b.resid IS NOT NULL AND row_number() OVER (PARTITION BY b.sample_core_id, c.id, b.resid ORDER BY b.file_id, b.measurement_nr) > 1 THEN 'repeated' END AS verdict
+  FROM batch b LEFT JOIN catalogue c ON b.code = c.termcode)"""
+
+
+def _loaded(spark, sf):
+    line = st.table(spark, sf, "lineitem")
+    code = F.when(F.col("l_linenumber") == 6, inserts.UNLISTED_PARAM).when(F.col("l_linenumber") == 5, "gone").otherwise(F.concat(F.lit("p"), F.col("l_partkey")))
+    number = F.concat_ws(
+        "-", *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")], F.col("l_quantity").cast("int").cast("string"),
+        F.date_format("l_shipdate", "yyyyMMdd"), F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"))
+    batch = line.select(
+        F.col("l_orderkey").alias("sample_core_id"), F.concat(F.lit("param="), code).alias("paramcodebaseparam"),
+        F.when(F.col("l_discount") > 0, F.concat(F.lit("r"), F.col("l_linenumber"))).alias("resid"), F.col("l_extendedprice").alias("resval"),
+        (F.col("l_orderkey") % 40).alias("file_id"), number.alias("measurement_nr"), "l_shipdate")
+    old = batch.filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp"))
+    stored = inserts.code_params(old, _catalogue(spark, sf)).select("sample_core_id", "param_id", "resid", "file_id")
+    return loads.load_measurements(batch.drop("l_shipdate"), {"param": _catalogue(spark, sf)}, stored)
+
+
+@query("measurement_load", f"WITH {JUDGED_SQL} SELECT sample_core_id, param_id, resid, resval, file_id, measurement_nr FROM judged WHERE verdict IS NULL")
+def measurement_load(spark, sf):
+    """The rows that a whole load appends: unknown, stored and repeated ones are gone."""
+    return _loaded(spark, sf).rows.select(*RESULT, "file_id", "measurement_nr")
+
+
+@query("measurement_load_rejected", f"WITH {JUDGED_SQL} SELECT sample_core_id, 'param=' || code AS paramcodebaseparam, resid, file_id, measurement_nr, verdict FROM judged WHERE verdict IN ('unknown_param', 'repeated')")
+def measurement_load_rejected(spark, sf):
+    return _loaded(spark, sf).rejected.select("sample_core_id", "paramcodebaseparam", "resid", "file_id", "measurement_nr", "verdict")
+
+
 @query("sample_rest_insert", """WITH staged AS (
   SELECT o_orderkey, 1 AS column_metainfo_id, o_orderstatus AS value FROM orders
   UNION ALL SELECT o_orderkey, 2, o_orderpriority FROM orders)

@@ -423,3 +423,105 @@ def test_odd_header_names_survive_staging(spark, tmp_path):
     out = cleaning.harmonise(staged, {"prod_code": "sampmatcodebasebuilding"}, keep=loads.PLUMBING)
     assert out.columns[:3] == ["sampmatcodebasebuilding", "samp_y", "xyz"]
     assert rows(out, "sampmatcodebasebuilding", "samp_y") == [("A", "2017")]
+
+
+def test_a_result_is_stored_once_of_a_batch(spark, dictionaries):
+    row = lambda nr, code, resid: ("s", code, resid, 1.0, "f", nr)
+    batch = spark.createDataFrame(
+        [row(2, "param=p1", "r1"), row(1, "p1", "r1"), row(3, "p1", None), row(4, "p1", None), row(5, "gone", "r1"), row(6, "p2", "r9")],
+        "sample_core_id string, paramcodebaseparam string, resid string, resval double, file_id string, measurement_nr long")
+    params = dictionaries["param"].union(dictionaries["param"].selectExpr("id + 10", "termcode"))
+    stored = spark.createDataFrame([("s", 2, "r9", "f"), ("t", 1, "r1", "f")], "sample_core_id string, param_id int, resid string, file_id string")
+    loaded = loads.load_measurements(batch, {"param": params}, stored)
+    assert rows(loaded.rows, "measurement_nr", "param_id") == [(1, 1), (3, 1), (4, 1)]
+    assert rows(loaded.rejected, "measurement_nr", "verdict") == [(2, "repeated"), (5, "unknown_param")]
+
+
+def test_unlisted_results_of_a_new_sample_are_all_kept(spark, dictionaries):
+    params = dictionaries["param"].union(spark.createDataFrame([(9, inserts.UNLISTED_PARAM)], "id int, termcode string"))
+    batch = spark.createDataFrame(
+        [("new", inserts.UNLISTED_PARAM, "r1", "f", 1), ("new", inserts.UNLISTED_PARAM, "r2", "f", 2), ("old", inserts.UNLISTED_PARAM, "r1", "f", 3)],
+        "sample_core_id string, paramcodebaseparam string, resid string, file_id string, measurement_nr long")
+    stored = spark.createDataFrame([("old", 1, "r7")], "sample_core_id string, param_id int, resid string")
+    loaded = loads.load_measurements(batch, {"param": params}, stored)
+    assert rows(loaded.rows, "measurement_nr") == [(1,), (2,)] and loaded.rejected.count() == 0
+
+
+def test_stored_measurements_are_read_once_behind_a_filter(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    old = spark.createDataFrame([(i, 1, "r", f"f{i % 5}", "vmpr" if i % 2 else "chemical") for i in range(1000)], "sample_core_id long, param_id int, resid string, file_id string, filetype string")
+    tables.write_partitioned(old, path, "filetype")
+    batch = spark.createDataFrame([(7, "f2", "vmpr"), (2, "f2", "vmpr")], "sample_core_id long, file_id string, filetype string")
+    with session.settings(spark, spark__sql__maxMetadataStringLength="2000"):
+        found = inserts.stored_keys(batch, spark.read.parquet(path), ["sample_core_id", "param_id", "resid"])
+        physical = found._jdf.queryExecution().sparkPlan().toString()
+    assert physical.count("FileScan parquet") == 1
+    assert "PartitionFilters: [isnotnull(filetype" in physical and "vmpr" in physical
+    pushed = physical.split("PushedFilters")[1]
+    assert all(x in pushed for x in ("GreaterThanOrEqual(sample_core_id,2)", "LessThanOrEqual(sample_core_id,7)", "EqualTo(file_id,f2)"))
+    assert rows(found) == [(7, 1, "r")]  # sample 2 is stored under another type
+
+
+def test_a_repeated_code_does_not_multiply_rows(spark):
+    twice = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, termcode string")
+    coded = loads.dims.encode(spark.createDataFrame([("a",), ("b",), ("c",)], "code string"), [("code", twice, "x")])
+    assert rows(coded) == [("a", 1), ("b", 3), ("c", None)]
+
+
+def test_catalogue_is_refused_and_loaded_once(spark, tmp_path):
+    sheet = spark.createDataFrame([("A", "x"), ("a ", "y"), ("b", "z"), (None, "w")], "TermCode string, TermExtendedName string")
+    made = catalogues.ingest_catalogue(sheet)
+    assert rows(made.rows, "termcode") == [("b",)] and rows(made.refused, "termextendedname") == [("w",), ("x",), ("y",)]
+    calls = []
+    make = lambda: calls.append(1) or made.rows
+    path = str(tmp_path / "catalogue")
+    for overwrite in (False, False, True):
+        assert rows(catalogues.catalogue_table(spark, path, make, overwrite), "termcode", "id") == [("b", 1)]
+    assert len(calls) == 2
+
+
+def test_amr_result_codes_are_unique_in_a_file(spark):
+    layout = AmrRegistry((AmrColumn("resultcode", None, "resultcode", None, 1, False), AmrColumn("repyear", None, "repyear", None, 2, False)))
+    raw = spark.createDataFrame([("r1", "1", "f"), ("R1 ", "2", "f"), ("r1", "3", "g"), (None, "4", "f"), (None, "5", "f")], "ResultCode string, RepYear string, filename string").coalesce(1)
+    loaded = loads.load_amr(raw, layout, {})
+    assert rows(loaded.rows, "repyear") == [(1,), (3,), (4,), (5,)]
+    assert rows(loaded.rejected, "repyear", "refused") == [("2", "repeated")]
+
+
+def test_losses_are_reported(spark, dictionaries):
+    raw = spark.createDataFrame(
+        [("s1", "pt", "2017", "m1", "abc", "f.csv"), ("s2", "pt", "99999999999", "m1", "1,5", "f.csv"), ("s3", "pt", "x", "m1", "N_A", "f.csv")],
+        "LabSampCode string, SampCountry string, SampY string, ProdCode string, ResVal string, file string")
+    cleaned = loads.stage_clean(raw, REGISTRY)
+    assert (cleaned.n_rows, cleaned.n_malformed) == (3, 3)
+    assert rows(cleaned.malformed) == [("f.csv", "resval", "1,5", 1), ("f.csv", "resval", "abc", 1), ("f.csv", "sampy", "x", 1)]
+    files = {**dictionaries, "files": spark.createDataFrame([(1, "f.csv")], "id int, filename string")}
+    core = loads.load_sample_core(loads.samples_of(cleaned, REGISTRY).keyed, REGISTRY, files, spark.createDataFrame([], "samplehash string"), ["product_id"])
+    assert rows(core.out_of_range, "file", "column", "value") == [("f.csv", "sampy", 99999999999.0)]
+    assert rows(core.rows, "sampid", "sampy") == [("s1", 2017), ("s2", None), ("s3", None)]
+
+
+def test_a_refused_file_shows_the_rows_that_share_a_key(samples):
+    assert rows(samples.offending, "file", "sampid", "sampmattext") == [("occ_2019_nl.zip", "s9", "one"), ("occ_2019_nl.zip", "s9", "two")]
+    assert rows(samples.malformed, "column", "value") == []
+
+
+def test_a_repair_reads_only_its_file(spark, staged, monkeypatch):
+    from assayline.operators import dedup
+
+    cleaned = loads.stage_clean(staged, REGISTRY)
+    assert cleaned.n_repairable == {"vmpr_2017_pt": 3}
+    fix = loads._of_file(loads.KNOWN_REPAIRS[0])
+    plan = cleaned.rows.where(fix)._jdf.queryExecution().sparkPlan().toString()
+    assert "StringStartsWith(file,vmpr_2017_pt.)" in plan
+    called = []
+    monkeypatch.setattr(dedup, "repair_duplicates", lambda *a, **k: called.append(a))
+    others = loads.stage_clean(staged.where("file <> 'vmpr_2017_pt.zip'"), REGISTRY)
+    assert others.n_repairable == {"vmpr_2017_pt": 0}
+    assert loads.samples_of(others, REGISTRY).rows.count() == 2 and not called
+
+
+def test_both_sentinel_readings(spark):
+    raw = spark.createDataFrame([("s1", "NA", "f")], "LabSampCode string, SampCountry string, file string")
+    assert rows(loads.build_samples(raw, REGISTRY).rows, "sampcountry") == [("na",)]
+    assert rows(loads.build_samples(raw, REGISTRY, reader_sentinels=True).rows, "sampcountry") == [(None,)]
