@@ -54,7 +54,7 @@ def joined(nodes: list[bytes]) -> bytes:
 
 
 def levels_of(members: int, height: int = HEIGHT) -> int:
-    """Levels of the blocks of a tree whose layer has so many members: just enough, or those of a full block."""
+    """Levels of a block that is a whole tree of so many leaves: just enough, those of a full block at most."""
     levels = 1
     while FAN ** (levels - 1) < members and levels <= height:
         levels += 1
@@ -110,20 +110,19 @@ class Tree(NamedTuple):
     roots: DataFrame
 
 
-_BLOCK = "tree string, block bigint, place bigint, members bigint, levels int, count int, nodes binary, root binary, keys array<bigint>, changed array<binary>"
+_BLOCK = "tree string, block bigint, levels int, count int, nodes binary, root binary, keys array<bigint>, changed array<binary>"
 
 
 def _build_task(height: int):
     def build(key, rows):
         order = rows.sort_by("place")
-        members = order.column("members")[0].as_py()
         leaves = order.column("leaf").to_pylist()
-        levels = levels_of(members, height)
-        nodes = built(leaves, levels)
         block = key[1].as_py()
+        # Only the first block of a tree can be its only one, and then needs no more levels than it has leaves for.
+        levels = height + 1 if block else levels_of(len(leaves), height)
+        nodes = built(leaves, levels)
         return pa.table({
-            "tree": pa.array([key[0].as_py()], pa.string()), "block": pa.array([block], pa.int64()), "place": pa.array([block % FAN**height], pa.int64()),
-            "members": pa.array([members], pa.int64()), "levels": pa.array([levels], pa.int32()), "count": pa.array([len(leaves)], pa.int32()),
+            "tree": pa.array([key[0].as_py()], pa.string()), "block": pa.array([block], pa.int64()), "levels": pa.array([levels], pa.int32()), "count": pa.array([len(leaves)], pa.int32()),
             "nodes": pa.array([nodes], pa.binary()), "root": pa.array([nodes[:DIGEST]], pa.binary()),
             "keys": pa.array([order.column("key").to_pylist()], pa.list_(pa.int64())), "changed": pa.array([order.column("changed").to_pylist()], pa.list_(pa.binary())),
         })
@@ -137,20 +136,18 @@ def grown(leaves: DataFrame, height: int = HEIGHT) -> Tree:
     A block is built in one task from at most FAN^height leaves, whatever the size of its tree.
     """
     full = FAN**height
-    sizes = leaves.groupBy("tree").agg(F.count("*").alias("members"))
-    layer = leaves.join(sizes, "tree")
-    layers = []
+    layers, tops = [], []
+    layer = leaves
     while True:
-        of = layer.select("tree", F.expr(f"at div {full}").alias("block"), (F.col("at") % full).alias("place"), "leaf", "key", "changed", "members")
+        of = layer.select("tree", F.expr(f"at div {full}").alias("block"), (F.col("at") % full).alias("place"), "leaf", "key", "changed")
         blocks = stage(of.groupBy("tree", "block").applyInArrow(_build_task(height), _BLOCK), "blocks")
         layers.append(blocks)
-        more = blocks.where(F.col("members") > full)
-        if not more.limit(1).count():
-            break
-        above = F.expr(f"(members + {full - 1}) div {full}")
-        layer = more.select("tree", F.col("block").alias("at"), F.col("root").alias("leaf"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("binary").alias("changed"), above.alias("members"))
-    tops = [b.where(F.col("members") <= full).select("tree", "root") for b in layers]
-    return Tree(layers, reduce(DataFrame.unionByName, tops))
+        several = stage(blocks.groupBy("tree").agg(F.count("*").alias("n")).where("n > 1").select("tree"), "higher-trees")
+        tops.append(blocks.join(several, "tree", "left_anti").select("tree", "root"))
+        if not several.limit(1).count():
+            return Tree(layers, reduce(DataFrame.unionByName, tops))
+        none = F.lit(None)
+        layer = blocks.join(several, "tree", "left_semi").select("tree", F.col("block").alias("at"), F.col("root").alias("leaf"), none.cast("long").alias("key"), none.cast("binary").alias("changed"))
 
 
 _STEPS = "array<struct<at: int, run: array<binary>>>"
@@ -221,7 +218,7 @@ def manifest(documents: DataFrame, key: str = "doc_id", group: str = "source", f
     """
     groups = grown(leaves_of(documents, key, group, fields, text), height)
     roots = number_rows(groups.roots.withColumn("all", F.lit("")), ["all"], ["tree"], "nr")
-    over = roots.select(F.lit("").alias("tree"), (F.col("nr") - 1).alias("at"), F.col("root").alias("leaf"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("binary").alias("changed"))
+    over = roots.select(F.col("all").alias("tree"), (F.col("nr") - 1).alias("at"), F.col("root").alias("leaf"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("binary").alias("changed"))
     top = grown(over, height)
     named = stage(roots.select("tree", "root", (F.col("nr") - 1).alias("at")), "roots")
     return Manifest(Tree(groups.layers, named), top)

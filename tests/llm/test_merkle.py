@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm.fixtures import documents
+
+from assayline.llm import merkle
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def H(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def lowered(text):
+    return None if text is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def plain(rows):
+    """Proofs of all rows by the rule as it is written, level by level over whole lists."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda r, text: H(*[field(v) for v in r[:4]], field(text))
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[1], []).append(r)
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([H(*levels[-1][i : i + 16]) for i in range(0, len(levels[-1]), 16)])
+        return levels
+
+    for group in trees.values():
+        group.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[4])))
+    built = {s: tree([leaf(r, r[4]) for r in group]) for s, group in trees.items()}
+    order = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    top = tree([built[s][-1][0] for s in order]) if order else []
+    out = []
+    for place, s in enumerate(order):
+        for i, r in enumerate(trees[s]):
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+            digest, siblings = leaf(r, lowered(r[4]) if tampered else r[4]), []
+            for levels, at in ((built[s], i), (top, place)):
+                for row in levels[:-1]:
+                    first = at - at % 16
+                    run = row[first : first + 16]
+                    siblings += run[: at - first] + run[at - first + 1 :]
+                    digest = H(*run[: at - first], digest, *run[at - first + 1 :])
+                    at //= 16
+            out.append((r[0], leaf(r, r[4]), built[s][-1][0], top[-1][0], H(*siblings), digest, digest == top[-1][0]))
+    return out
+
+
+def proved(spark, rows, height):
+    return [tuple(r) for r in merkle.proofs(merkle.manifest(spark.createDataFrame(rows, SCHEMA), height=height), height).collect()]
+
+
+def same(a, b):
+    return sorted(a, key=str) == sorted(b, key=str)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 6), st.data())
+def test_addresses_are_a_permutation_with_each_subtree_in_one_piece(levels, data):
+    places = [merkle.addresses(levels, d) for d in range(levels)] if levels <= 5 else [merkle.addresses(3, d) for d in range(3)]
+    levels = len(places)
+    assert np.array_equal(np.sort(np.concatenate(places)), np.arange(merkle.size(levels)))
+    assert places[0][0] == 0
+    top = levels // 2
+    if top:
+        # The upper half comes first; below it every subtree is a run of its own, in order.
+        assert max(p.max() for p in places[:top]) == merkle.size(top) - 1
+        below, size = levels - top, merkle.size(levels - top)
+        i = data.draw(st.integers(0, merkle.FAN**top - 1))
+        own = np.concatenate([places[top + d][i * 16**d : (i + 1) * 16**d] for d in range(below)])
+        assert np.array_equal(np.sort(own), merkle.size(top) + i * size + np.arange(size))
+
+
+@pytest.mark.parametrize("height", [1, 2, 3])
+@pytest.mark.parametrize("sizes", [(1,), (16, 1), (17, 256, 2), (257, 16, 15, 300)])
+def test_equals_the_rule_level_by_level(spark, height, sizes):
+    rows = [(i * 7 % 1009, f"s{s}", None if i % 9 == 0 else "en", i, f"Text {i} É") for s, n in enumerate(sizes) for i in range(n)]
+    assert same(proved(spark, rows, height), plain(rows))
+
+
+def test_many_sources_need_layers_too(spark):
+    rows = [(i, f"s{i:03}" if i % 300 else None, "en", 1, "A") for i in range(600)]
+    assert same(proved(spark, rows, 1), plain(rows))
+
+
+def test_nulls_repeats_long_texts_and_an_order_by_bytes(spark):
+    rows = [
+        (None, None, None, None, None), (None, "a", "en", 1, "T"), (None, "a", "en", 1, "T"), (1, "a", "en", 1, "x"), (1, "a", "en", 1, "x"), (1, "a", "en", 1, "y"),
+        (2, "", "en", 0, ""), (3, "é", "en", 3, "Z" * 300_000), (4, "z", "en", 3, "\U0001f600"), (5, "\U0001f600", "de", 3, "a"), (6, "￮", "de", 3, "b"),
+    ]
+    tampered = next(i for i in range(10, 99) if zlib.crc32(str(i).encode()) % 5 == 0)
+    rows += [(tampered, "a", "en", 1, "Upper"), (tampered, "z", "en", 1, None), (tampered, "z", "en", 1, "lower")]
+    got = proved(spark, rows, 1)
+    assert same(got, plain(rows))
+    assert any(not r[-1] for r in got) and any(r[-1] for r in got)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    made = merkle.manifest(documents(spark, []))
+    assert merkle.proofs(made).count() == 0 and made.top.roots.count() == 0
+    rows = [(i, "s", "en", 1, f"T{i}") for i in range(20)]
+    clashing = spark.createDataFrame([(*r, "x", 5) for r in rows], SCHEMA + ", leaf string, at int")
+    assert same([tuple(r) for r in merkle.proofs(merkle.manifest(clashing)).collect()], plain(rows))
+
+
+def test_blocks_are_stored_and_read_back(spark):
+    rows = [(i, "s", "en", 1, f"T{i}") for i in range(300)]
+    made = merkle.manifest(spark.createDataFrame(rows, SCHEMA), height=1)
+    assert [layer.count() for layer in made.groups.layers] == [19, 2, 1]
+    block = made.groups.layers[0].where("block = 18").first()
+    held = merkle.Block(bytes(block.nodes), block.levels, block["count"])
+    assert (block.levels, block["count"]) == (2, 12)
+    at, run = held.path(5)[0]
+    assert (at, len(run)) == (5, 12) and merkle.folded(run[5], held.path(5)) == bytes(block.root)
+
+
+def test_a_hot_source_is_built_in_many_tasks(spark):
+    rows = [(i, "hot" if i % 4 else f"s{i % 20}", "en", 1, "t") for i in range(2000)]
+    made = merkle.manifest(spark.createDataFrame(rows, SCHEMA), height=1)
+    assert made.groups.layers[0].selectExpr("max(count)").first()[0] == 16
