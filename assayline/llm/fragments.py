@@ -7,8 +7,8 @@ fragment.  Overlaps of a pair are counted segment by segment, each fragment apar
 Which pairs are counted: two sets of a similarity of 0.8 share four fifths of either.  So a set with
 more than a fifth of n-grams that no other set has is in no pair.  The first fragments show this for
 nearly all texts, and only the others are read again and counted over all fragments.  Of what remains,
-two sets that are similar share one of their rarest n-grams (the prefix of a set, rarest first), so
-sets meet in buckets of these.  Large buckets are not paired: some members are pivots for all others,
+two sets that are similar share one of their rarest n-grams (the prefix of a set, rarest first), at
+places that leave enough to share behind them, so sets meet in buckets of these.  Large buckets are not paired: some members are pivots for all others,
 over a few rounds, and whoever is already in one component is not compared again.
 """
 
@@ -29,7 +29,7 @@ WORDS, PERCENT = 5, 80
 FRAGMENTS, HEAD = 16, 5
 #: Buckets of more members than CROWD are compared through PIVOTS of them first, which a member meets
 #: in PICKS of its buckets, in ROUNDS at most before whatever is undecided is paired.
-CROWD, PIVOTS, PICKS, ROUNDS = 8, 16, 2, 4
+CROWD, PIVOTS, PICKS, ROUNDS = 8, 8, 2, 4
 
 _BITS = FRAGMENTS.bit_length() - 1
 
@@ -102,10 +102,10 @@ def hopeful(sets: DataFrame) -> DataFrame:
 
 
 def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """Of each set that can still be similar to another: ``node``, ``n``, ``prefix`` and ``segments`` by fragment.
+    """Of each set that can still be similar to another: ``node``, ``n``, ``alone``, ``prefix`` and ``segments`` by fragment.
 
     Only n-grams that at least two sets have are kept, the rarest first; the others come before them
-    in the order, are in no overlap, and so only make the prefix shorter.
+    in the order, are in no overlap, and so only make the prefix shorter (``alone`` counts them).
     """
     body = text_or_empty(text)
     rows = documents.select(F.unhex(F.md5(body)).alias("text_id"), body.alias("text")).join(nodes, "text_id")
@@ -121,7 +121,7 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
     of = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 64 - _BITS) == f)
     segments = F.array(*[of(f) for f in range(FRAGMENTS)])
     prefix = F.slice("grams", F.lit(1), (F.size("grams") - F.col("least") + 1).cast("int"))
-    return stage(ordered.select("node", "n", prefix.alias("prefix"), segments.alias("segments")), "segments")
+    return stage(ordered.select("node", "n", (F.col("n") - F.size("grams")).cast("int").alias("alone"), prefix.alias("prefix"), segments.alias("segments")), "segments")
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -140,38 +140,65 @@ def linked(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return summed.where(100 * F.col("overlap") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("overlap"))).select("a", "b")
 
 
-def _like(n: Column, m: Column) -> Column:
-    """Sets of these sizes can be similar."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def _reach(n: Column, at: Column, m: Column, there: Column) -> Column:
+    """Whether sets of sizes n and m can be similar if the first n-gram they share is at these places of their orders.
+
+    All that they share is this one and what follows it in both.  A pair that is similar passes at the
+    first n-gram it shares, whatever other buckets it meets in.
+    """
+    after = F.least(n - at, m - there)
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * after >= PERCENT * (n + m))
+
+
+def prefixes(parts: DataFrame) -> DataFrame:
+    """Buckets: ``gram``, ``node``, ``n``, ``at`` (the place in the order of the set) and ``members`` of the bucket.
+
+    A set is not in a bucket in which even the smallest set is too large for what follows the place.
+    """
+    met = parts.select("node", "n", "alone", F.posexplode("prefix").alias("rank", "gram")).withColumn("at", F.col("alone") + F.col("rank"))
+    ends = met.groupBy("gram").agg(F.count("*").alias("members"), F.min("n").alias("smallest")).where("members > 1")
+    other = F.greatest(F.col("smallest"), F.expr(f"(n * {PERCENT}) div 100"))
+    near = stage(met.join(ends, "gram").where((100 + PERCENT) * (F.col("n") - F.col("at")) >= PERCENT * (F.col("n") + other)).select("gram", "node", "n", "at", "alone"), "prefixes")
+    return stage(near.join(near.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1"), "gram").withColumn("component", F.col("node")), "buckets")
+
+
+_OTHER = ("node", "n", "at", "component")
+
+
+def _met(members: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows of members with those of a bucket's others, named ``o_...``, in different components and within reach."""
+    far = others.select("gram", *[F.col(c).alias(f"o_{c}") for c in _OTHER])
+    apart = F.col("component") != F.col("o_component")
+    return members.join(far, "gram").where(apart & _reach(F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at")))
 
 
 def _pairs(members: DataFrame, others: DataFrame) -> DataFrame:
-    """Distinct pairs of members and others of a bucket that lie in different components."""
-    far = others.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")])
-    met = members.join(far, "gram").where((F.col("component") != F.col("o_component")) & _like(F.col("n"), F.col("o_n")))
+    """Distinct pairs of members and others of a bucket."""
     low = F.col("node") < F.col("o_node")
     pick = lambda x, y, name: F.when(low, F.col(x)).otherwise(F.col(y)).alias(name)
-    return met.select(pick("node", "o_node", "a"), pick("n", "o_n", "n_a"), pick("o_node", "node", "b"), pick("o_n", "n", "n_b")).distinct()
+    return _met(members, others).select(pick("node", "o_node", "a"), pick("n", "o_n", "n_a"), pick("o_node", "node", "b"), pick("o_n", "n", "n_b")).distinct()
 
 
 def _all_pairs(members: DataFrame) -> DataFrame:
-    far = members.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")])
-    met = members.join(far, "gram").where((F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component")) & _like(F.col("n"), F.col("o_n")))
+    met = _met(members, members).where("node < o_node")
     return met.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("o_node").alias("b"), F.col("o_n").alias("n_b")).distinct()
 
 
 def _star(members: DataFrame, turn: int, pivots: int) -> DataFrame:
     """Pairs of members and pivots: each member in PICKS of its buckets, the largest, or as the turn draws them.
 
-    The pivots of a bucket are the least of each class of a hash that changes with the turn.
+    The pivots of a bucket are the least of each class of a hash that changes with the turn: at first
+    those with the fewest n-grams of their own, which are in the middle of a group of near copies, then
+    whichever the hash brings.
     """
     drawn = F.xxhash64("gram", F.lit(turn))
-    order = F.struct("members", "gram") if not turn else F.struct(drawn.alias("drawn"), "gram")
-    picked = members.groupBy("node", "n", "component", F.pmod(drawn, F.lit(PICKS)).alias("of")).agg(F.max(order).alias("pick"))
-    picked = stage(picked.select("node", "n", "component", "pick.gram"), "picked")
+    order = F.struct("members", "gram", "at") if not turn else F.struct(drawn.alias("drawn"), "gram", "at")
+    picked = members.groupBy("node", "n", "alone", "component", F.pmod(drawn, F.lit(PICKS)).alias("of")).agg(F.max(order).alias("pick"))
+    picked = stage(picked.select("node", "n", "alone", "component", "pick.gram", "pick.at"), "picked")
     mixed = F.xxhash64("node", F.lit(turn))
-    least = picked.groupBy("gram", F.pmod(mixed, F.lit(pivots)).alias("of")).agg(F.min(F.struct(mixed.alias("mixed"), "node", "n", "component")).alias("pivot"))
-    return _pairs(picked, least.select("gram", "pivot.node", "pivot.n", "pivot.component"))
+    order = [mixed.alias("mixed")] if turn else ["alone", mixed.alias("mixed")]
+    least = picked.groupBy("gram", F.pmod(mixed, F.lit(pivots)).alias("of")).agg(F.min(F.struct(*order, *_OTHER)).alias("pivot"))
+    return _pairs(picked, least.select("gram", *[f"pivot.{c}" for c in _OTHER]))
 
 
 def _undecided(members: DataFrame) -> tuple[int, int]:
@@ -190,9 +217,7 @@ def links(parts: DataFrame, crowd: int = CROWD, pivots: int = PIVOTS, rounds: in
     Members that are not, whichever bucket they are in, meet all of it in the end: no pair that
     could join two components is left out.
     """
-    met = parts.select("node", "n", F.explode("prefix").alias("gram"))
-    sizes = met.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(met.join(sizes, "gram").withColumn("component", F.col("node")), "buckets")
+    members = prefixes(parts)
     large = members.where(F.col("members") > crowd)
     pairs = stage(_all_pairs(members.where(F.col("members") <= crowd)).unionByName(_star(large, 0, pivots)).distinct(), "pairs")
     tested = pairs.select("a", "b")
