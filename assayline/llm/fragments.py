@@ -115,7 +115,8 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
     sets = stage(add_columns(once, [F.col("text")], _set_task, "grams array<bigint>", ["node", "n"]), "grams")
     grams = sets.select("node", "n", F.explode("grams").alias("gram"))
     counts = stage(grams.groupBy("gram").agg(F.count("*").cast("int").alias("found")).where("found > 1"), "frequencies")
-    rarest = grams.join(counts, "gram").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("found", "gram"))).alias("grams"))
+    # Merged at every size: n-grams and their counts both are as large as the texts.
+    rarest = grams.join(counts.hint("merge"), "gram").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("found", "gram"))).alias("grams"))
     kept = rarest.withColumn("least", F.expr(f"(n * {PERCENT} + 99) div 100")).where("size(grams) >= least")
     ordered = kept.withColumn("grams", F.col("grams.gram"))
     of = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 64 - _BITS) == f)
@@ -125,13 +126,10 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Partial overlaps of each pair (a, n_a, b, n_b): one row per fragment that both have n-grams in.
-
-    Merged at every size: pairs and segments both grow with the input.
-    """
+    """Partial overlaps of each pair (a, n_a, b, n_b): one row per fragment that both have n-grams in."""
     segments = parts.select("node", F.posexplode("segments").alias("fragment", "grams")).where("size(grams) > 0")
     left, right = (segments.select(F.col("node").alias(end), "fragment", F.col("grams").alias(f"grams_{end}")) for end in "ab")
-    return pairs.hint("merge").join(left, "a").join(right.hint("merge"), ["b", "fragment"]).select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
+    return pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
 
 
 def linked(pairs: DataFrame, parts: DataFrame) -> DataFrame:
