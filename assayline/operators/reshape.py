@@ -30,6 +30,18 @@ def conflicting_cells(long: DataFrame, ids: Sequence[str], name: str = "columnna
     return long.groupBy(*ids, name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def to_wide_counted(long: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "columnname", value: str = "value") -> DataFrame:
+    """``to_wide`` with ``n_<column>``, how often each cell was given, from the same aggregate."""
+    cell = {c: F.when(F.col(name) == c, F.col(value)) for c in columns}
+    return long.groupBy(*ids).agg(*[F.min(x).alias(c) for c, x in cell.items()], *[F.count(x).alias(f"n_{c}") for c, x in cell.items()])
+
+
+def counted_conflicts(counted: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "columnname") -> DataFrame:
+    """Cells that ``to_wide_counted`` was given more than once, as ``conflicting_cells`` lists them."""
+    cells = F.array(*[F.when(F.col(f"n_{c}") > 1, F.struct(F.lit(c).alias(name), F.col(f"n_{c}").alias("n"))) for c in columns])
+    return counted.select(*ids, F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("cell")).select(*ids, f"cell.{name}", "cell.n")
+
+
 def sums_by_label(label: str, labels: Sequence[str], measure: Column) -> list[Column]:
     """One sum per fixed label, 0 where a label is missing; other labels are ignored."""
     return [F.coalesce(F.sum(F.when(F.col(label) == x, measure)), F.lit(0)).alias(x) for x in labels]

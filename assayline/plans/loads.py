@@ -400,22 +400,65 @@ def load_amr(raw: DataFrame, registry: AmrRegistry, dictionaries: dict[str, Data
     return Loaded(good, judged.filter("refused is not null").drop(*ids.values()))
 
 
-def roundtrip_differences(
-    original: DataFrame, warehouse: DataFrame, ids: Sequence[str], columns: Sequence[str]
-) -> DataFrame:
-    """Cells of the original rows that the rebuilt rows hold with another value.
+class RoundTrip(NamedTuple):
+    """What a comparison of releases with the warehouse finds.
+
+    ``files`` lists the files that differ and in which columns; ``changed`` the cells that both sides
+    have with another value; ``missing`` those that one side lacks (``only_in``: ``original`` or
+    ``warehouse``), those of rows that one side lacks included.
+    """
+
+    files: DataFrame
+    changed: DataFrame
+    missing: DataFrame
+
+
+def compare_roundtrip(
+    original: DataFrame, warehouse: DataFrame, ids: Sequence[str], columns: Sequence[str], file_col: str | None = None, chosen: DataFrame | None = None,
+) -> RoundTrip:
+    """Compare the original rows with the rebuilt ones.
 
-    Both sides are brought to the same kind per column first (numbers where every value of
-    the column is one), so ``1`` and ``1.0`` are not a difference.  That decision reads a
-    side once more, so the rebuilt rows, which cost two pivots and two joins, are written.
+    Both sides are brought to the same kind per column first (numbers where every value of the column is
+    one), so ``1`` and ``1.0`` are not a difference.  Then each side gives one digest per file and
+    column.  Only files whose digests differ are opened: their rows meet in wide form, and only cells
+    that differ become rows.  ``file_col`` is by default the first of ``ids``.  ``chosen`` limits the
+    comparison to some files (``quality.choose_files``).
     """
-    keys = list(ids)
+    keys, file_col = list(ids), file_col or ids[0]
     shared = [c for c in columns if c in original.columns and c in warehouse.columns]
     sides = []
-    for df in (original.select(*keys, *shared), materialise(warehouse.select(*keys, *shared), "rebuilt")):
-        typed = cleaning.best_effort_cast(df, skip=keys)
-        sides.append(reshape.to_long(typed, keys, shared))
-    return compare.compare_values(sides[0], sides[1], keys)
+    for df, name in ((original, "original"), (warehouse, "warehouse")):
+        if chosen is not None:
+            df = df.join(chosen.select(file_col).distinct(), file_col, "left_semi")
+        staged = materialise(df.select(*keys, *shared), name)
+        sides.append(cleaning.best_effort_cast(staged, skip=keys))
+    # A column that is a number on one side only is compared as text.
+    kinds = [dict(df.dtypes) for df in sides]
+    odd = [c for c in shared if kinds[0][c] != kinds[1][c]]
+    sides = [df.withColumns({c: F.col(c).cast("string") for c in odd}) if odd else df for df in sides]
+    files = materialise(compare.differing_files(sides[0], sides[1], file_col, keys, shared), "differing-files")
+    opened = [df.join(files.select(file_col), file_col, "left_semi") for df in sides]
+    cells = materialise(compare.differing_cells(opened[0], opened[1], keys, shared), "differing-cells")
+    both = F.col("value_x").isNotNull() & F.col("value_y").isNotNull()
+    only = F.when(F.col("value_y").isNull(), "original").otherwise("warehouse")
+    missing = cells.where(~both).select(*keys, "variable", F.coalesce("value_x", "value_y").alias("value"), only.alias("only_in"))
+    return RoundTrip(files, cells.where(both), missing)
+
+
+def roundtrip_differences(
+    original: DataFrame, warehouse: DataFrame, ids: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Cells of the original rows that the rebuilt rows hold with another value (see ``compare_roundtrip``)."""
+    return compare_roundtrip(original, warehouse, ids, columns).changed
+
+
+def verify_some_files(
+    original: DataFrame, warehouse: DataFrame, ids: Sequence[str], columns: Sequence[str], n: int = 5, seed: int = 0, file_col: str | None = None,
+) -> RoundTrip:
+    """``compare_roundtrip`` of a repeatable choice of ``n`` files of the original."""
+    name = file_col or ids[0]
+    files = materialise(original.select(name).distinct(), "file-names")
+    return compare_roundtrip(original, warehouse, ids, columns, name, materialise(quality.choose_files(files, n, seed, name), "chosen-files"))
 
 
 def check_invariants(samples: DataFrame, rest: DataFrame, measurements: DataFrame) -> dict[str, DataFrame]:

@@ -177,8 +177,8 @@ def distinct_after_nulling(spark, sf):
 @query("duplicate_rows", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) AS rn FROM lineitem) WHERE rn > 1""")
 def repeats(spark, sf):
-    flagged = dedup.flag_repeats(st.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
-    return flagged.filter("is_repeat").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    copies = dedup.later_copies(st.table(spark, sf, "lineitem").select(*dict.fromkeys(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *LINE_ORDER])), ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    return copies.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 FILE_OF = "l_suppkey || '-' || l_returnflag || '-' || year(l_shipdate)"

@@ -525,3 +525,42 @@ def test_both_sentinel_readings(spark):
     raw = spark.createDataFrame([("s1", "NA", "f")], "LabSampCode string, SampCountry string, file string")
     assert rows(loads.build_samples(raw, REGISTRY).rows, "sampcountry") == [("na",)]
     assert rows(loads.build_samples(raw, REGISTRY, reader_sentinels=True).rows, "sampcountry") == [(None,)]
+
+
+def test_roundtrip_opens_only_files_that_differ(spark):
+    row = lambda f, nr, a, b: (f, nr, a, b)
+    schema = "file string, nr long, a string, b string"
+    original = spark.createDataFrame([row("f", 1, "1", "x"), row("f", 2, "2", None), row("g", 1, "3", "y"), row("h", 1, "4", "z"), row(None, 1, "5", "n")], schema)
+    stored = spark.createDataFrame([row("f", 2, "2.0", "new"), row("f", 1, "1.0", "x"), row("g", 1, "3", "other"), row("h", 2, "4", "z"), row(None, 1, "5", "n")], schema)
+    found = loads.compare_roundtrip(original, stored, ["file", "nr"], ["a", "b"])
+    assert sorted((r.file, tuple(r.columns)) for r in found.files.collect()) == [("f", ("b",)), ("g", ("b",)), ("h", ("a", "b"))]
+    assert rows(found.changed, "file", "nr", "variable", "value_x", "value_y") == [("g", 1, "b", "y", "other")]
+    assert rows(found.missing, "file", "nr", "variable", "value", "only_in") == [
+        ("f", 2, "b", "new", "warehouse"), ("h", 1, "a", "4.0", "original"), ("h", 1, "b", "z", "original"), ("h", 2, "a", "4.0", "warehouse"), ("h", 2, "b", "z", "warehouse")]
+    some = loads.verify_some_files(original, stored, ["file", "nr"], ["a", "b"], n=1, seed=3)
+    assert some.files.count() <= 1
+
+
+def test_digests_count_copies_and_ignore_order(spark):
+    schema = "file string, nr long, a string"
+    digests = lambda data: rows(compare.column_digests(spark.createDataFrame(data, schema), "file", ["file", "nr"], ["a"]))
+    assert digests([("f", 1, "x"), ("f", 2, "y")]) == digests([("f", 2, "y"), ("f", 1, "x")])
+    assert digests([("f", 1, "x"), ("f", 1, "x")]) != digests([("f", 1, "z"), ("f", 1, "z")])
+    assert digests([("f", 1, "x"), ("f", 2, "y")]) != digests([("f", 1, "y"), ("f", 2, "x")])
+
+
+def test_rebuilding_reports_what_is_stored_twice(spark):
+    core = spark.createDataFrame([("s", "f", 1), ("s", "f", 2)], "sample_core_id string, file_id string, measurement_nr long")
+    attribute = "columnname string, value string"
+    sample_rest = spark.createDataFrame([("s", "p", "b"), ("s", "p", "a")], f"sample_core_id string, {attribute}")
+    rest = spark.createDataFrame([("f", 1, "q", "x"), ("f", 2, "q", "y"), ("f", 2, "q", "y")], f"file_id string, measurement_nr long, {attribute}")
+    made = compare.rebuild(core, sample_rest, rest, ["p"], ["q"])
+    assert rows(made.rows, "measurement_nr", "p", "q") == [(1, "a", "x"), (2, "a", "y")]
+    assert rows(made.conflicts) == [("f|2", "q", 2), ("s", "p", 2)]
+
+
+def test_later_copies_match_nulls(spark):
+    from assayline.operators import dedup
+
+    df = spark.createDataFrame([(None, "a", 2), (None, "a", 1), ("x", None, 1), ("x", None, 3), ("x", "b", 1), (None, None, 1)], "k string, l string, n int")
+    assert rows(dedup.later_copies(df, ["k", "l"], ["n"])) == [("x", None, 3), (None, "a", 2)]
