@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of local sessions without a shared one, by application: the setting itself is fixed when a session starts.
+_own_folders: dict[str, str] = {}
 _run_folder: contextvars.ContextVar[str] = contextvars.ContextVar("run_folder", default="")
 
 # Settings every job relies on.  All are runtime SQL settings, so they can be put on a
@@ -55,16 +57,18 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a folder of its own: on a cluster a
-    machine-local path would be lost with its executor, so there the setting is required.
+    machine-local path would be lost with its executor, so there the setting is required, and
+    must name a folder that all machines reach, a mounted one if it is a file path.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="assayline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="assayline-")
+    return _own_folders[app]
 
 
 def scratch(spark: SparkSession, name: str) -> str:

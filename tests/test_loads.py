@@ -564,3 +564,59 @@ def test_later_copies_match_nulls(spark):
 
     df = spark.createDataFrame([(None, "a", 2), (None, "a", 1), ("x", None, 1), ("x", None, 3), ("x", "b", 1), (None, None, 1)], "k string, l string, n int")
     assert rows(dedup.later_copies(df, ["k", "l"], ["n"])) == [("x", None, 3), (None, "a", 2)]
+
+
+def test_a_stream_of_two_layouts_leaves_no_scratch(spark, tmp_path, dictionaries):
+    import os
+
+    from pyspark.sql.types import StructType
+
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    landing.mkdir()
+    head = ["LabSampCode", "SampCountry", "SampY", "ProdCode", "ProdText", "ParamCode", "ResultCode", "ResVal"]
+    one = [["S1", "PT", "2017", "M1", 'two\nlines, "x"', "P1", "R1", "1.5"], ["S1", "PT", "2017", "M1", 'two\nlines, "x"', "P2", "R2", "bad"]]
+    two = [["S2", "NL", "2018", "M1", "plain", "P1", "R1", "2"]]
+
+    def put(name, header, data):
+        with open(landing / name, "w", newline="", encoding="utf8") as file:
+            out = csv.writer(file)
+            out.writerow(header)
+            out.writerows(data)
+
+    put("VMPR_2017_PT.csv", head, one)
+    put("pesticides_all.csv", head, one)
+    schemas = {
+        "sample_core": StructType.fromDDL("samplehash string, sampid string, sampcountry_id int, file string"),
+        "sample_rest": StructType.fromDDL("sample_core_id string, column_metainfo_id int, value string"),
+        "measurement_core": StructType.fromDDL("sample_core_id string, param_id int, resid string, resval double, file_id string, filetype string, measurement_nr bigint"),
+    }
+    scratch = f"{session.shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    held = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+
+    def run():
+        found = stream_releases.release_tables(root, REGISTRY, dictionaries, schemas, ["sampcountry_id"])
+        stream = stream_releases.read_release_paths(spark, str(landing), "*.csv", max_files=1)
+        ingest.load_stream(stream, found, str(tmp_path / "checkpoint"), stream_releases.read_arrived()).awaitTermination()
+
+    run()
+    put("OCC_2018_NL.csv", head[::-1], [r[::-1] for r in two])
+    run()
+    assert set(os.listdir(scratch)) - held <= {n for n in os.listdir(scratch) if not n.startswith("run-")} and not any(n.startswith("run-") and os.listdir(f"{scratch}/{n}") for n in set(os.listdir(scratch)) - held)
+    got = {name: ingest.stored(spark, f"{root}/{name}", schema) for name, schema in schemas.items()}
+    assert rows(got["sample_core"], "sampid", "sampcountry_id", "file") == [("s1", 1, "vmpr_2017_pt.csv"), ("s2", 2, "occ_2018_nl.csv")]
+    assert rows(got["measurement_core"], "resid", "resval", "filetype", "measurement_nr") == [("r1", 1.5, "vmpr", 1), ("r1", 2.0, "chemical", 1), ("r2", None, "vmpr", 2)]
+    assert rows(ingest.stored(spark, f"{root}/malformed_cells", stream_releases.REPORTS["malformed_cells"])) == [("vmpr_2017_pt.csv", "resval", "bad", 1)]
+    texts = {r.value for r in got["sample_rest"].collect()}
+    assert 'two\nlines, "x"' in texts
+
+
+def test_a_local_session_without_a_shared_folder_gets_its_own(spark, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), spark.sparkContext
+
+    first = session.shared_folder(Session())
+    assert first == session.shared_folder(Session()) and first != session.shared_folder(spark)
