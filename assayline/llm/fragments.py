@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayline import session
+
 from .components import components
 from .frames import add_columns, stage, text_or_empty
 
@@ -112,7 +114,10 @@ def shared_parts(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame
     # Only of texts that may come several times is one chosen, so that the others are not moved.
     several = rows.where("copies > 1").groupBy("text_id", "node", "n").agg(F.first("text").alias("text"))
     once = rows.where("copies = 1").select("node", "n", "text").unionByName(several.select("node", "n", "text"))
-    sets = stage(add_columns(once, [F.col("text")], _set_task, "grams array<bigint>", ["node", "n"]), "grams")
+    # Where the list of sets is too long to be broadcast, Spark sends a Bloom filter of it to the texts
+    # (of 8 MB at most), so that few others are moved to the join.
+    with session.settings(documents.sparkSession, spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0"):
+        sets = stage(add_columns(once, [F.col("text")], _set_task, "grams array<bigint>", ["node", "n"]), "grams")
     grams = sets.select("node", "n", F.explode("grams").alias("gram"))
     counts = stage(grams.groupBy("gram").agg(F.count("*").cast("int").alias("found")).where("found > 1"), "frequencies")
     # Merged at every size: n-grams and their counts both are as large as the texts.
