@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import add_columns, bounded_batches, slices, stage, text_or_empty
+from .frames import add_columns, bounded_batches, slices, stage, text_or_empty, tidy
 from .suffixes import suffix_levels
 
 #: Words of a window; a shorter item is one window.
@@ -263,7 +263,7 @@ def longest(documents: DataFrame, benchmark: DataFrame, document: str = "doc_id"
                     yield pa.RecordBatch.from_pylist([{"item": items.ids[k], "begin": b, "n": n, "doc": d, "doc_begin": w} for k, (n, b, d, w) in best.items()], schema=pa.schema([("item", pa.int64()), ("begin", pa.int64()), ("n", pa.int64()), ("doc", pa.int64()), ("doc_begin", pa.int64())]))
 
         rows_ = documents.select(F.col(f"`{document}`").cast("long"), text_or_empty(text))
-        parts.append(rows_.mapInArrow(task, "item long, begin long, n long, doc long, doc_begin long"))
+        parts.append(rows_.mapInArrow(tidy(task), "item long, begin long, n long, doc long, doc_begin long"))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -90,13 +92,33 @@ def add_columns(
         for out in task(feed()):
             columns = waiting.pop(0) + out
             yield pa.RecordBatch.from_arrays(columns, names=[f"k{i}" for i in range(n)] + [f"o{i}" for i in range(len(out))])
-        # The worker stays for other tasks; what this one needed goes back to the system.
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     result = source.mapInArrow(run, schema)
     return result.toDF(*kept, *[f.name for f in made])
 
 
+def give_back() -> None:
+    """Return what a task needed to the system.
+
+    A worker process stays for other tasks of other stages, and the allocators of Arrow and of C keep
+    freed memory for themselves, so that a chain of operators would need the sum of their peaks.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(task):
+    """A task of ``mapInArrow`` that gives its memory back at the end."""
+
+    def run(batches):
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def text_or_empty(name: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))

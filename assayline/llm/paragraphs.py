@@ -1,8 +1,13 @@
-"""Repeated paragraphs across documents: MinHash bands, exact Jaccard, components.
+"""Repeated paragraphs and passages across documents: MinHash bands, exact Jaccard, components.
 
 A paragraph is a line of at least MIN_WORDS words; its set is that of its shingles of five
 lower-cased words.  Bands of two hashes each, eight of them, let a pair of similarity s meet with
 probability 1 - (1 - s^2)^8: 0.9997 at 0.8, more above.  All that meet are compared exactly.
+
+A passage may also lie inside lines, or run over short ones.  So the words of the whole text are cut
+into windows of WINDOW words, too, which begin where the hash of a shingle is the least of SPREAD
+shingles on either side: wherever a copy stands, its windows begin at the same words.  Windows
+overlap, and are compared like paragraphs, with WINDOW_BANDS bands.
 """
 
 from __future__ import annotations
@@ -13,14 +18,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayline import session
+
 from .components import components
-from .frames import bounded_batches, slices, stage, text_or_empty
+from .frames import bounded_batches, slices, stage, text_or_empty, tidy
 
 WORDS, SIMILARITY, MIN_WORDS = 5, 0.8, 20
 BANDS, ROWS = 8, 2
 #: Members of one bucket that are compared at a time; see ``dealt``.
 CROWD = 20_000
 
+#: Words of a window, shingles on either side among which its first is the least, and its bands.
+WINDOW, SPREAD, WINDOW_BANDS = 20, 6, 2
+
 _seeds = np.random.default_rng(20).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
@@ -39,14 +49,14 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b]) for a, b in zip((ends - sizes)[: 1 - WORDS].tolist(), ends[WORDS - 1 :].tolist())], np.uint32))
 
 
-def bands_of(sets: list[np.ndarray]) -> np.ndarray:
+def bands_of(sets: list[np.ndarray], bands: int = BANDS) -> np.ndarray:
     """One key per band for each set."""
     if not sets:
-        return np.zeros((0, BANDS), np.int64)
+        return np.zeros((0, bands), np.int64)
     flat = np.concatenate(sets).astype(np.uint64)
     begins = np.cumsum([0, *map(len, sets[:-1])])
-    least = np.empty((len(sets), BANDS * ROWS), np.uint64)
-    for k, (a, b) in enumerate(_seeds):
+    least = np.empty((len(sets), bands * ROWS), np.uint64)
+    for k, (a, b) in enumerate(_seeds[: bands * ROWS]):
         mixed = flat * a + b
         mixed ^= mixed >> np.uint64(29)
         mixed *= a
@@ -58,7 +68,7 @@ def bands_of(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _find_task(batches):
-    schema = pa.schema([("key", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()), ("same", pa.int64()), ("bands", pa.list_(pa.int64())), ("shingles", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("shingles", pa.binary())])
     for batch in batches:
         for part in slices(batch, 1):
             keys, lines, counts, same, sets = [], [], [], [], []
@@ -67,10 +77,84 @@ def _find_task(batches):
                     keys.append(key)
                     lines.append(line)
                     counts.append(len(words))
-                    same.append(xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63))
+                    same.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     sets.append(shingles(words))
             bands = pa.FixedSizeListArray.from_arrays(pa.array(bands_of(sets).ravel()), BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(counts, pa.int32()), pa.array(same, pa.int64()), bands, pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(counts, pa.int32()), pa.array(same, pa.binary()), bands, pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+
+
+def starts(hashes: np.ndarray) -> np.ndarray:
+    """Where windows begin: at shingles that are less than all before them, and not more than those behind, within SPREAD."""
+    n = len(hashes)
+    if n < WINDOW - WORDS + 1:
+        return np.zeros(0, np.int64)
+    mixed = hashes * np.uint32(0x9E3779B1)
+    padded = np.full(n + 2 * SPREAD, 0xFFFFFFFF, np.uint32)
+    padded[SPREAD : SPREAD + n] = mixed
+    least = np.full(n, True)
+    for d in range(1, SPREAD + 1):
+        least &= mixed < padded[SPREAD - d : SPREAD - d + n]
+        least &= mixed <= padded[SPREAD + d : SPREAD + d + n]
+    at = np.flatnonzero(least)
+    return at[at + WINDOW - WORDS < n]
+
+
+def windows(text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Lower-cased words of a text, where its windows begin, and their shingle hashes, a row each."""
+    words = text.lower().split()
+    if len(words) < WINDOW:
+        return words, np.zeros(0, np.int64), np.zeros((0, WINDOW - WORDS + 1), np.uint32)
+    joined = b" ".join(words)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    digest = xxhash.xxh32_intdigest
+    hashes = np.array([digest(joined[a:b]) for a, b in zip((ends - sizes)[: 1 - WORDS].tolist(), ends[WORDS - 1 :].tolist())], np.uint32)
+    at = starts(hashes)
+    return words, at, hashes[at[:, None] + np.arange(WINDOW - WORDS + 1)]
+
+
+def window_bands(rows: np.ndarray) -> np.ndarray:
+    """``bands_of`` windows, whose sets may hold a shingle twice."""
+    keys = np.zeros((len(rows), WINDOW_BANDS), np.uint64)
+    flat = rows.astype(np.uint64)
+    for k, (a, b) in enumerate(_seeds[: WINDOW_BANDS * ROWS]):
+        mixed = flat * a + b
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= a
+        least = (mixed ^ (mixed >> np.uint64(32))).min(axis=1, initial=np.uint64(2**64 - 1))
+        keys[:, k // ROWS] = keys[:, k // ROWS] * np.uint64(0x9E3779B97F4A7C15) + least
+    return keys.view(np.int64)
+
+
+def _value_task(batches):
+    """Texts -> the band keys of all windows."""
+    for batch in batches:
+        for part in slices(batch, 0):
+            found = [window_bands(windows(text)[2]).ravel() for text in part.column(0).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["value"])
+
+
+def _window_task(batches):
+    """Texts -> windows, like ``_find_task``, with their first word; ``paragraph`` is the line of that word."""
+    for batch in batches:
+        for part in slices(batch, 1):
+            keys, lines, begins, same, sets, bands = [], [], [], [], [], []
+            for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                words, at, rows = windows(text)
+                if not len(at):
+                    continue
+                line_of = np.repeat(np.arange(text.count(b"\n") + 1), [len(x.split()) for x in text.split(b"\n")])
+                keys += [key] * len(at)
+                lines += line_of[at].tolist()
+                begins += at.tolist()
+                same += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in at.tolist()]
+                sets += [np.unique(r).tobytes() for r in rows]
+                bands.append(window_bands(rows))
+            flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
+            keyed = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW_BANDS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(begins, pa.int32()), pa.array(same, pa.binary()), keyed, pa.array(sets, pa.binary())],
+                names=["key", "paragraph", "begin", "same", "bands", "shingles"])
 
 
 def forest(names: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -145,7 +229,7 @@ def similar(found: DataFrame, nodes: DataFrame, crowd: int = CROWD) -> DataFrame
     members = dealt(meets.join(buckets, ["band", "value"]).withColumnRenamed("node", "number"), crowd)
     # Merged at every size: the sets are the one large side, whatever the number of members.
     sets = members.join(found.select("number", "shingles").hint("merge"), "number").select("bucket", "number", "shingles")
-    return stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_task, "a bigint, b bigint"), "similar")
+    return stage(sets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_compare_task), "a bigint, b bigint"), "similar")
 
 
 def _whole_task(batches):
@@ -167,38 +251,76 @@ def alike(documents: DataFrame, key: str, text: str, crowd: int = CROWD) -> Data
     """
     bounded_batches(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
-    found = stage(rows.mapInArrow(_whole_task, "key long, same long, bands array<bigint>, shingles binary").withColumn("number", F.monotonically_increasing_id()), "texts")
+    found = stage(rows.mapInArrow(tidy(_whole_task), "key long, same long, bands array<bigint>, shingles binary").withColumn("number", F.monotonically_increasing_id()), "texts")
     nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node")), "nodes")
     named = [found.select(F.col("number").alias(end), F.col("key").alias(f"key_{end}")) for end in ("a", "b")]
     edges = similar(found, nodes, crowd).join(named[0], "a").join(named[1], "b")
     return edges.where("key_a <> key_b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
+def _classes_of(found: DataFrame, crowd: int, columns: list[str]) -> DataFrame:
+    """Units (key, paragraph, same, bands, shingles, number and ``columns``) with another one like them: their class."""
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "paragraph", "number")).alias("first")
+    nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node"), F.count("*").alias("n"), first), "nodes")
+
+    edges = similar(found, nodes, crowd)
+    labels = components(edges).withColumnRenamed("node", "linked")
+    named = nodes.select("same", "node", "n", "first").join(labels, F.col("node") == F.col("linked"), "left").withColumn("label", F.coalesce("component", "node"))
+    named = stage(named.select("same", "n", "first", "label"), "labels")
+    groups = named.groupBy("label").agg(F.sum("n").alias("class_size"), F.min("first").alias("first")).where("class_size > 1")
+    repeated = stage(named.select("same", "label").join(groups, "label").select("same", "class_size", F.col("first.key").alias("class_id"), F.col("first.number").alias("kept")), "classes")
+    return found.select("key", "paragraph", *columns, "same", "number").join(repeated, "same").select(
+        "key", "paragraph", *columns, "class_id", "class_size", (F.col("number") != F.col("kept")).alias("removed"),
+    )
+
+
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """All paragraphs with another one like them, in whatever document.
 
     Columns: ``key``, ``paragraph`` (its line, from zero), ``n_words``, ``class_id`` (the smallest key
     in the class), ``class_size`` (paragraphs) and ``removed``: all of a class but its first, by key,
     then line, go.  Null texts have no paragraphs; a null key comes last.  Repeated rows are copies
-    of each other like any others.  Paragraphs that are equal word for word are one node from the
-    start, found with a combined aggregate; of the rest only those that meet in a band are compared.
+    of each other like any others.  Paragraphs that are equal word for word (by a hash of 128 bits)
+    are one node from the start, found with a combined aggregate; of the rest only those that meet in a
+    band are compared.
     """
     bounded_batches(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
-    found = rows.mapInArrow(_find_task, "key long, paragraph int, n_words int, same long, bands array<bigint>, shingles binary")
+    found = rows.mapInArrow(tidy(_find_task), "key long, paragraph int, n_words int, same binary, bands array<bigint>, shingles binary")
     found = stage(found.withColumn("number", F.monotonically_increasing_id()), "paragraphs")
-    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "paragraph", "number")).alias("first")
-    nodes = stage(found.groupBy("same").agg(F.min("bands").alias("bands"), F.min("number").alias("node"), F.count("*").alias("n"), first), "nodes")
+    return _classes_of(found, crowd, ["n_words"]).withColumnRenamed("key", key)
 
-    edges = similar(found, nodes, crowd)
-    labels = components(edges).withColumnRenamed("node", "linked")
-    named = nodes.select("same", "node", "n", "first").join(labels, F.col("node") == F.col("linked"), "left").withColumn("label", F.coalesce("component", "node"))
-    named = stage(named.select("same", "n", "first", "label"), "labels")
-    groups = named.groupBy("label").agg(F.sum("n").alias("class_size"), F.min("first").alias("first")).where("class_size > 1")
-    repeated = stage(named.select("same", "label").join(groups, "label").select("same", "class_size", F.col("first.key").alias("class_id"), F.col("first.number").alias("kept")), "classes")
-    return found.select("key", "paragraph", "n_words", "same", "number").join(repeated, "same").select(
-        F.col("key").alias(key), "paragraph", "n_words", "class_id", "class_size", (F.col("number") != F.col("kept")).alias("removed"),
-    )
+
+def passages(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+    """All windows with another one like them, wherever in a document they stand.
+
+    Columns as of ``classes``, with ``begin``, the number of the window's first word in the text (from
+    zero), and ``paragraph`` the line of that word; the first of a class stays.  A text of fewer than
+    WINDOW words has no windows; null counts as empty, null keys come last, repeated rows are copies.
+
+    Texts are read twice.  First only band keys are counted; then windows one of whose keys some other
+    window has, a small part, are written with their shingles and compared.
+    """
+    spark = documents.sparkSession
+    bounded_batches(spark)
+    rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
+    values = rows.select("text").mapInArrow(tidy(_value_task), "value bigint")
+    again = stage(values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1"), "values")
+    every = rows.mapInArrow(tidy(_window_task), "key long, paragraph int, begin int, same binary, bands array<bigint>, shingles binary")
+    every = every.withColumn("number", F.monotonically_increasing_id()).withColumn("value", F.explode("bands"))
+    # Spark sends a Bloom filter of the repeated keys to the windows where these are too many to be broadcast.
+    limits = {"applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g"}
+    with session.settings(spark, **{f"spark__sql__optimizer__runtime__bloomFilter__{k}": v for k, v in limits.items()}):
+        met = stage(every.join(again.where("n > 1").select("value"), "value"), "windows")
+    found = stage(met.drop("value").dropDuplicates(["number"]), "windows")
+    return _classes_of(found, crowd, ["begin"]).withColumnRenamed("key", key)
+
+
+def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+    """Paragraphs and passages together: ``classes`` (``begin`` is null) and ``passages`` (``n_words`` is WINDOW)."""
+    columns = [key, "paragraph", "begin", "n_words", "class_id", "class_size", "removed"]
+    lines = classes(documents, key, text, crowd).withColumn("begin", F.lit(None).cast("int"))
+    return lines.select(*columns).unionByName(passages(documents, key, text, crowd).withColumn("n_words", F.lit(WINDOW)).select(*columns))
 
 
 def _without(text: Column, lines: Column) -> Column:

@@ -64,7 +64,7 @@ def quality(spark, sf_dir):
 
 @register("op6_paragraphs")
 def repeated_paragraphs(spark, sf_dir):
-    return paragraphs.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return paragraphs.repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("op7_simhash")

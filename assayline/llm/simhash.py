@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import add_columns, bounded_batches, stage, text_or_empty
+from .frames import add_columns, bounded_batches, stage, text_or_empty, tidy
 from .paragraphs import alike
 
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -170,7 +170,7 @@ def links(values: DataFrame, column: str = "fingerprint", radius: int = RADIUS,
     rows = values.select(F.col(column).alias("value"), F.explode(F.array(*looks)).alias("x")).select("x.tab", "x.key", "value")
     bounded_batches(values.sparkSession)
     placed = rows.repartition("tab", "key").sortWithinPartitions("tab", "key")
-    found = stage(placed.mapInArrow(_link_task(radius, bucket), "a bigint, b bigint, tab int"), "links")
+    found = stage(placed.mapInArrow(tidy(_link_task(radius, bucket)), "a bigint, b bigint, tab int"), "links")
     return found.where("tab is null").select("a", "b").unionByName(_by_flips(found.where("tab is not null").select("tab", "a"), radius))
 
 

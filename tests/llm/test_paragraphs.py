@@ -58,7 +58,9 @@ def test_classes_are_those_of_all_pairs(spark, seed, crowd):
 def test_query(spark, tmp_path):
     rows = texts(3)
     sf = folder(spark, tmp_path, documents=documents(spark, rows))
-    got = queries.repeated_paragraphs(spark, sf).collect()
+    found = queries.repeated_paragraphs(spark, sf).collect()
+    got = [r for r in found if r.begin is None]
+    assert all(r.n_words == paragraphs.WINDOW for r in found if r.begin is not None) and len(got) < len(found)
     assert sorted((r.doc_id, r.paragraph, r.class_id, r.class_size, r.removed) for r in got) == brute(list(enumerate(rows)))
 
 
@@ -89,3 +91,79 @@ def test_many_small_classes_in_a_crowd(spark):
     assert len({r[2] for r in want}) == 150
     got = paragraphs.classes(documents(spark, rows).repartition(3), crowd=24)
     assert sorted((r.doc_id, r.paragraph, r.class_id, r.class_size, r.removed) for r in got.collect()) == want
+
+
+def planted(seed, n, length):
+    """Texts of random words, lines broken anywhere; every third holds one of a few passages, inside its lines."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 7)))
+    passages = [[word() for _ in range(length)] for _ in range(n // 12)]
+    out, holds = [], []
+    for i in range(n):
+        words = [word() for _ in range(rng.randint(30, 150))]
+        chosen = rng.randrange(len(passages)) if i % 3 == 0 else None
+        if chosen is not None:
+            at = rng.randrange(len(words))
+            words[at:at] = passages[chosen]
+        out.append("".join(w + rng.choice(["\n"] + [" "] * rng.choice([4, 15, 60])) for w in words))
+        holds.append(chosen)
+    return out, holds
+
+
+@pytest.mark.parametrize("length", [51, 70])
+def test_passages_inside_lines_are_found(spark, length):
+    texts, holds = planted(length, 360, length)
+    got = paragraphs.passages(documents(spark, texts).repartition(3)).collect()
+    copies = {c: holds.count(c) for c in set(holds) - {None}}
+    there = {i for i, c in enumerate(holds) if c is not None and copies[c] > 1}
+    found = {r.doc_id for r in got}
+    assert len(there & found) >= 0.9 * len(there) and not found - there
+    for r in got:
+        words = texts[r.doc_id].lower().split()[r.begin : r.begin + paragraphs.WINDOW]
+        assert len(words) == paragraphs.WINDOW and r.class_id <= r.doc_id
+        before = sum(len(line.split()) for line in texts[r.doc_id].split("\n")[: r.paragraph])
+        assert before <= r.begin < before + len(texts[r.doc_id].split("\n")[r.paragraph].split())
+    firsts = {(r.class_id, r.class_size) for r in got}
+    assert sum(not r.removed for r in got) >= len({c for c, _ in firsts})
+
+
+def test_equal_windows_are_one_class_whatever_the_crowd(spark):
+    texts, _ = planted(7, 120, 60)
+    plain = {}
+    for i, t in enumerate(texts):
+        words = t.lower().split()
+        for at in paragraphs.windows(t.encode())[1].tolist():
+            plain.setdefault(tuple(words[at : at + paragraphs.WINDOW]), []).append((i, at))
+    sets = {(i, at): {w[j : j + 5] for j in range(len(w) - 4)} for w, places in plain.items() for i, at in places}
+    results = []
+    for crowd in (paragraphs.CROWD, 2):
+        got = {(r.doc_id, r.begin): r.class_id for r in paragraphs.passages(documents(spark, texts), crowd=crowd).collect()}
+        results.append(got)
+        for places in plain.values():
+            if len(places) > 1:
+                assert len({got[p] for p in places}) == 1
+        # Whatever else is found is similar to another window.
+        for p in set(got) - {p for places in plain.values() if len(places) > 1 for p in places}:
+            assert any(q != p and len(sets[p] & sets[q]) >= 0.8 * len(sets[p] | sets[q]) for q in sets)
+    assert results[0] == results[1] and len(results[0]) > 40
+
+
+def test_windows_begin_at_the_same_words_in_any_text():
+    texts, holds = planted(3, 60, 80)
+    for c in set(holds) - {None}:
+        seen = []
+        for t, h in zip(texts, holds):
+            if h == c:
+                words, at, _ = paragraphs.windows(t.encode())
+                seen.append({tuple(words[i : i + paragraphs.WINDOW]) for i in at.tolist()})
+        assert all(a & b for a in seen for b in seen)
+    assert paragraphs.windows(b"x " * 1000)[1].tolist() == [0]
+    assert not len(paragraphs.windows(b"one two")[1]) and not len(paragraphs.windows(b"")[1])
+
+
+def test_passages_stand_nulls_repeats_and_empty_tables(spark):
+    body = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, body, 0), (1, body, 0), (None, "a\nb " + body, 0), (4, None, 0), (5, "", 0)], "doc_id long, text string, begin int")
+    got = paragraphs.passages(df).collect()
+    assert {r.doc_id for r in got} == {1, None} and {r.class_size for r in got} == {3} and {r.class_id for r in got} == {1}
+    assert paragraphs.passages(documents(spark, [])).count() == 0 and paragraphs.repeated(documents(spark, [])).count() == 0
