@@ -80,6 +80,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{_run_folder.get()}{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextlib.contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[str]:
     """Everything staged inside is removed at the end, through the file system that holds it.
@@ -93,8 +99,7 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _run_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 @contextlib.contextmanager

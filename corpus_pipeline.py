@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayline import session
 from assayline.llm import bpe, bytecnn, contamination, pii, simhash
-from assayline.llm.frames import stage, table
+from assayline.llm.frames import table
 from assayline.llm.queries import QUALITY
 
 
@@ -63,7 +64,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The result of all stages.  What a stage staged is removed when it is written, and its input when it has been read."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = session.scratch(spark, name.replace(" ", "-"))
+        with session.scratch_run(spark):
+            made = function(spark, docs, sf_dir)
+            schema = made.schema
+            made.write.parquet(path)
+        if last:
+            session.remove(spark, last)
+        docs, last = spark.read.schema(schema).parquet(path), path
     return docs
