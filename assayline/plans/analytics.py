@@ -271,6 +271,16 @@ def country_type_matrix(counts: DataFrame, types: Sequence[str] = TYPES) -> Data
     return titled.groupBy("samp_country").agg(*cells)
 
 
+def top_country_matrix(counts: DataFrame, n: int = 15, types: Sequence[str] = TYPES) -> DataFrame:
+    """The rows of ``country_type_matrix`` of the ``n`` countries with most measurements of all types, with ``total_meas_sum``.
+
+    Their order is by that sum, the largest first, equal ones by name.
+    """
+    totals = country_totals(counts).groupBy("samp_country").agg(F.sum(TOTAL).alias("total_meas_sum"))
+    top = totals.orderBy(F.col("total_meas_sum").desc(), "samp_country").limit(n)
+    return country_type_matrix(counts, types).join(top, "samp_country").orderBy(F.col("total_meas_sum").desc(), "samp_country")
+
+
 def yearly_trend(counts: DataFrame, outliers: Sequence[int] = OUTLIER_YEARS) -> DataFrame:
     """Totals and percentage of positives per type and year, without outlier years."""
     grouped = grains.regroup(ranking.without_years(counts, outliers), ["type", "year"])

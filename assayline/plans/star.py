@@ -72,7 +72,7 @@ def sample_view(samples: DataFrame, dims: dict[str, DataFrame], column: str = NA
     if "product_id" in samples.columns and "products" in dims:
         labelled = _with_product(labelled, dims, column, product)
     if "file_id" in samples.columns and "files" in dims:
-        labelled = decode(labelled, [("file_id", dims["files"], {"filename": "filename", "country_code": "country_code"})])
+        labelled = decode(labelled, [("file_id", dims["files"], {c: c for c in ("filename", "country_code", "filetype") if c in dims["files"].columns and c not in labelled.columns})])
     return labelled
 
 

@@ -300,6 +300,15 @@ def country_type_matrix(spark, sf):
     return an.country_type_matrix(_country_counts(spark, sf))
 
 
+@query("top_country_matrix", f"""{FACTS}
+SELECT {st.sql_title('samp_country')} AS samp_country, count(*) AS total_meas_sum, """ + ", ".join(
+    f"count(*) FILTER (WHERE type = '{t}') AS {t}_total, count(*) FILTER (WHERE type = '{t}' AND {st.POSITIVE}) AS {t}_pos" for t in an.TYPES
+) + " FROM facts WHERE samp_country IS NOT NULL AND type IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15", order=["-total_meas_sum", "samp_country"])
+def top_country_matrix(spark, sf):
+    """Measured and positive per type in the fifteen countries with most measurements."""
+    return an.top_country_matrix(_country_counts(spark, sf))
+
+
 @query("production_join", f"""{FACTS}, external AS (
   SELECT {st.sql_title('n_name')} AS samp_country, sum(s_acctbal) AS total_production
   FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal BETWEEN 2000 AND 9000 GROUP BY 1)

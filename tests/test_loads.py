@@ -244,6 +244,13 @@ def test_views(core, dictionaries):
     assert rows(star.sample_view(core.rows.select("sampid", "product_id"), named, star.CODE), "productname") == [("m1",), ("m1",), ("x1",)]
 
 
+def test_sample_view_tells_the_type_of_its_file(spark):
+    samples = spark.createDataFrame([(1, 7), (2, 8)], "sample_core_id int, file_id int")
+    files = spark.createDataFrame([(7, "f.zip", "PT", "vmpr")], "id int, filename string, country_code string, filetype string")
+    assert rows(star.sample_view(samples, {"files": files}), "sample_core_id", "filename", "country_code", "filetype") == [
+        (1, "f.zip", "PT", "vmpr"), (2, None, None, None)]
+
+
 def test_amr(spark):
     layout = AmrRegistry((
         AmrColumn("resultcode", None, "resultcode", None, 2, False), AmrColumn("zoonosis", None, "zoonosis_id", "PARAM", 1, False),
