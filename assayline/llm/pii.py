@@ -55,8 +55,8 @@ FEATURES = {"digits": 20, "groups": 8, "cue": 1, "before": 2, "after": 2, "marks
 ROUNDS, SHRINK, MIN_WEIGHT = 25, 0.3, 5
 #: The share of known good ones among all that a threshold lets through, on rows kept aside.
 PRECISION = 0.9
-#: A threshold needs so many of them above it.
-LEAST_SEEN = 20
+#: So many rows of all kinds together stand beside those of one kind when its share is estimated.
+PRIOR = 20
 
 
 def bound(value: Column, use) -> Column:
@@ -278,22 +278,28 @@ def _expression(tree, features: list[Column]) -> Column:
 
 
 def thresholds(rows: list[tuple[tuple[int, ...], int, float]], trees: list[tuple]) -> dict[int, float]:
-    """For each kind the lowest score from which on at least PRECISION of the weight is good.
+    """For each kind the lowest score from which on the share of good ones is at least PRECISION.
 
-    A kind with fewer than LEAST_SEEN such rows has no threshold: nothing is added for it.
+    The share of a kind is smoothed by that of all kinds from the same score on, which counts as PRIOR
+    rows.  So a kind of which few are known, in a small table or because it is rare, follows what is
+    known of all, and the more there are the less it does; there is no number at which the rule changes.
+    Where no score reaches the share, or nothing is known at all, a kind has no threshold.
     """
+    tallies: dict[float, dict[int, list[float]]] = {}
+    for features, label, weight in rows:
+        score = round(sum(value_of(t, features) for t in trees), 9)
+        own = tallies.setdefault(score, {}).setdefault(features[0], [0.0, 0.0])
+        own[0] += weight * label
+        own[1] += weight
     found = {}
-    for kind in range(len(KINDS)):
-        by_score: dict[float, list[float]] = {}
-        for features, label, weight in rows:
-            if features[0] == kind:
-                own = by_score.setdefault(round(sum(value_of(t, features) for t in trees), 9), [0.0, 0.0])
-                own[0] += weight * label
-                own[1] += weight
-        good = seen = 0.0
-        for score in sorted(by_score, reverse=True):
-            good, seen = good + by_score[score][0], seen + by_score[score][1]
-            if seen >= LEAST_SEEN and good >= PRECISION * seen:
+    good, seen = dict.fromkeys(range(len(KINDS)), 0.0), dict.fromkeys(range(len(KINDS)), 0.0)
+    for score in sorted(tallies, reverse=True):
+        for kind, (g, n) in tallies[score].items():
+            good[kind] += g
+            seen[kind] += n
+        shared = sum(good.values()) / sum(seen.values())
+        for kind in good:
+            if good[kind] + PRIOR * shared >= PRECISION * (seen[kind] + PRIOR):
                 found[kind] = score - 1e-6
     return found
 

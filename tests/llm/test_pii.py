@@ -121,6 +121,26 @@ def test_trees_separate_and_thresholds_hold_back():
     assert pii.thresholds(rows[:5], trees) == {} and pii.grow([]) == []
 
 
+def test_thresholds_of_rare_kinds_follow_all_and_then_their_own():
+    rows = [((k, d, 2, 0, 0, 0, 1), int(d >= 10), 50.0) for k in (2, 3) for d in range(5, 15)]
+    trees = pii.grow(rows)
+    score = lambda k, d: sum(pii.value_of(t, (k, d, 2, 0, 0, 0, 1)) for t in trees)
+    few = pii.thresholds([*rows, ((0, 12, 2, 0, 0, 0, 1), 1, 1.0)], trees)
+    assert set(few) == {0, 1, 2, 3} and score(0, 12) >= few[0] > score(0, 6)
+    # Many bad ones of a kind outweigh what the others show, a few do not.
+    assert 1 in pii.thresholds([*rows, ((1, 14, 2, 0, 0, 0, 1), 0, 1.0)], trees)
+    assert 1 not in pii.thresholds([*rows, ((1, 14, 2, 0, 0, 0, 1), 0, 500.0)], trees)
+
+
+def test_one_document_gets_the_same_spans_in_small_and_large_tables(spark):
+    known = [f"please call +1 (4{i % 100:02}) 555-{1000 + i} today" for i in range(400)]
+    bad = [f"part (1{i % 100:02}) 155-{1000 + i} of it" for i in range(100)]
+    one = "please call (456) 555-2186 today"
+    for n in (8, 40, 400):
+        found = pii.find(documents(spark, [*known[:n], *bad[: n // 4], one])).orderBy("doc_id").collect()[-1]
+        assert [(pii.KINDS[s.kind], one[s.start : s.stop]) for s in found.spans] == [("phone", "(456) 555-2186")], n
+
+
 def test_long_runs_take_linear_time(spark):
     texts = ["a" * 100_000, "1" * 100_000, "1." * 50_000, "+" + "1 " * 50_000, "(" * 100_000, "a@b.c " * 20_000]
     assert [len(r.base) for r in pii.find(documents(spark, texts)).orderBy("doc_id").collect()] == [0, 0, 12_500, 0, 0, 20_000]
