@@ -30,13 +30,20 @@ def canonical_number(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """``canonical_number`` of a column of type double, without looking at its text where it is whole.
+    """``canonical_number`` of a column of type double, from its value and without patterns.
 
-    Whole numbers below 2^53 are spelled as integers; only others, rare among identifiers, go through
-    the text rules.
+    Whole numbers below 2^53 are spelled as integers.  Others are spelled by their own text where that
+    has no exponent, and as decimals where it has.
     """
     whole = (c == F.floor(c)) & (F.abs(c) < 2**53)
-    return F.when(whole, c.cast("bigint").cast("string")).otherwise(canonical_number(c))
+    plain = F.abs(c).between(1e-3, 9999999.0)
+    text = c.cast("string")
+
+    def decimals(scale: int) -> Column:
+        return F.rtrim(c.try_cast(f"decimal(38,{scale})").cast("string"), F.lit("0"))
+
+    spelled = F.when(F.abs(c) >= 1, F.rtrim(decimals(10), F.lit("."))).otherwise(F.nullif(decimals(37), F.lit("0.")))
+    return F.when(whole, c.cast("bigint").cast("string")).when(plain, text).otherwise(F.coalesce(spelled, text))
 
 
 def tuple_text(columns: Iterable[Column]) -> Column:

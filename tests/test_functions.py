@@ -123,3 +123,16 @@ def test_log_scale(spark):
     df = spark.createDataFrame([(10,), (100,), (1000,)], "n int")
     sized = df.select("n", numbers.log_scale_size(F.col("n"), F.lit(10), F.lit(1000)).alias("size"))
     assert [round(r[1], 6) for r in rows(sized)] == [50.0, 225.0, 400.0]
+
+
+def test_a_typed_number_is_spelled_like_its_text(spark):
+    import random
+
+    from assayline.functions.identity import canonical_number, number_text
+
+    rng = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.0, 2017.0, 1.5, -0.25, 1e-3, 9.99e-4, 1e-11, -1e-20, 1e7, 12345678.5, -98765432.25, 2.0**53, 2.0**60, 1e20, 0.1, 123456.789, None]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-12, 12) for _ in range(300)] + [float(rng.randint(-10**9, 10**9)) for _ in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "c double")
+    odd = df.select("c", number_text(F.col("c")).alias("a"), canonical_number(F.col("c")).alias("b")).filter("not a <=> b")
+    assert [tuple(r) for r in odd.collect()] == []
