@@ -18,8 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayline import session
-
+from . import bloom
 from .components import components
 from .frames import bounded_batches, slices, stage, text_or_empty, tidy
 
@@ -134,27 +133,38 @@ def _value_task(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["value"])
 
 
-def _window_task(batches):
-    """Texts -> windows, like ``_find_task``, with their first word; ``paragraph`` is the line of that word."""
-    for batch in batches:
-        for part in slices(batch, 1):
-            keys, lines, begins, same, sets, bands = [], [], [], [], [], []
-            for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                words, at, rows = windows(text)
-                if not len(at):
-                    continue
-                line_of = np.repeat(np.arange(text.count(b"\n") + 1), [len(x.split()) for x in text.split(b"\n")])
-                keys += [key] * len(at)
-                lines += line_of[at].tolist()
-                begins += at.tolist()
-                same += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in at.tolist()]
-                sets += [np.unique(r).tobytes() for r in rows]
-                bands.append(window_bands(rows))
-            flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
-            keyed = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW_BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(begins, pa.int32()), pa.array(same, pa.binary()), keyed, pa.array(sets, pa.binary())],
-                names=["key", "paragraph", "begin", "same", "bands", "shingles"])
+def _window_task(repeated):
+    """Texts -> windows one of whose band keys the filter knows, like ``_find_task``, with their first word.
+
+    ``paragraph`` is the line of that word.  Without a filter all windows are put out.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1):
+                keys, lines, begins, same, sets, bands = [], [], [], [], [], []
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                    words, at, rows = windows(text)
+                    own = window_bands(rows)
+                    if repeated is not None and len(at):
+                        keep = bloom.known(repeated.value, own.ravel()).reshape(own.shape).any(axis=1)
+                        at, rows, own = at[keep], rows[keep], own[keep]
+                    if not len(at):
+                        continue
+                    line_of = np.repeat(np.arange(text.count(b"\n") + 1), [len(x.split()) for x in text.split(b"\n")])
+                    keys += [key] * len(at)
+                    lines += line_of[at].tolist()
+                    begins += at.tolist()
+                    same += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in at.tolist()]
+                    sets += [np.unique(r).tobytes() for r in rows]
+                    bands.append(own)
+                flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
+                keyed = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW_BANDS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(begins, pa.int32()), pa.array(same, pa.binary()), keyed, pa.array(sets, pa.binary())],
+                    names=["key", "paragraph", "begin", "same", "bands", "shingles"])
+
+    return run
 
 
 def forest(names: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -291,28 +301,32 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd
     return _classes_of(found, crowd, ["n_words"]).withColumnRenamed("key", key)
 
 
-def passages(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+def passages(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD, limit: int = bloom.LIMIT) -> DataFrame:
     """All windows with another one like them, wherever in a document they stand.
 
     Columns as of ``classes``, with ``begin``, the number of the window's first word in the text (from
     zero), and ``paragraph`` the line of that word; the first of a class stays.  A text of fewer than
     WINDOW words has no windows; null counts as empty, null keys come last, repeated rows are copies.
 
-    Texts are read twice.  First only band keys are counted; then windows one of whose keys some other
-    window has, a small part, are written with their shingles and compared.
+    Texts are read twice.  First only band keys are counted, and those that come twice put into a Bloom
+    filter of bounded size; then windows with a key that it knows, a small part, are written with their
+    shingles and compared.  Where there are more such keys than it could tell apart, a join picks them.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("key"), text_or_empty(text).alias("text"))
     values = rows.select("text").mapInArrow(tidy(_value_task), "value bigint")
-    again = stage(values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1"), "values")
-    every = rows.mapInArrow(tidy(_window_task), "key long, paragraph int, begin int, same binary, bands array<bigint>, shingles binary")
-    every = every.withColumn("number", F.monotonically_increasing_id()).withColumn("value", F.explode("bands"))
-    # Spark sends a Bloom filter of the repeated keys to the windows where these are too many to be broadcast.
-    limits = {"applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g"}
-    with session.settings(spark, **{f"spark__sql__optimizer__runtime__bloomFilter__{k}": v for k, v in limits.items()}):
-        met = stage(every.join(again.where("n > 1").select("value"), "value"), "windows")
-    found = stage(met.drop("value").dropDuplicates(["number"]), "windows")
+    again = stage(values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value"), "values")
+    n = again.count()
+    sent = spark.sparkContext.broadcast(bloom.built(again, n, limit)) if bloom.fits(n, limit) else None
+    every = rows.mapInArrow(tidy(_window_task(sent)), "key long, paragraph int, begin int, same binary, bands array<bigint>, shingles binary")
+    every = every.withColumn("number", F.monotonically_increasing_id())
+    if sent is None:
+        met = stage(every.withColumn("value", F.explode("bands")).join(again, "value"), "windows")
+        every = met.drop("value").dropDuplicates(["number"])
+    found = stage(every, "windows")
+    if sent is not None:
+        sent.unpersist()
     return _classes_of(found, crowd, ["begin"]).withColumnRenamed("key", key)
 
 

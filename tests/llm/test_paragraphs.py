@@ -136,8 +136,8 @@ def test_equal_windows_are_one_class_whatever_the_crowd(spark):
             plain.setdefault(tuple(words[at : at + paragraphs.WINDOW]), []).append((i, at))
     sets = {(i, at): {w[j : j + 5] for j in range(len(w) - 4)} for w, places in plain.items() for i, at in places}
     results = []
-    for crowd in (paragraphs.CROWD, 2):
-        got = {(r.doc_id, r.begin): r.class_id for r in paragraphs.passages(documents(spark, texts), crowd=crowd).collect()}
+    for crowd, limit in ((paragraphs.CROWD, 32 << 20), (2, 32 << 20), (paragraphs.CROWD, 0)):
+        got = {(r.doc_id, r.begin): r.class_id for r in paragraphs.passages(documents(spark, texts), crowd=crowd, limit=limit).collect()}
         results.append(got)
         for places in plain.values():
             if len(places) > 1:
@@ -145,7 +145,7 @@ def test_equal_windows_are_one_class_whatever_the_crowd(spark):
         # Whatever else is found is similar to another window.
         for p in set(got) - {p for places in plain.values() if len(places) > 1 for p in places}:
             assert any(q != p and len(sets[p] & sets[q]) >= 0.8 * len(sets[p] | sets[q]) for q in sets)
-    assert results[0] == results[1] and len(results[0]) > 40
+    assert results[0] == results[1] == results[2] and len(results[0]) > 40
 
 
 def test_windows_begin_at_the_same_words_in_any_text():
@@ -167,3 +167,20 @@ def test_passages_stand_nulls_repeats_and_empty_tables(spark):
     got = paragraphs.passages(df).collect()
     assert {r.doc_id for r in got} == {1, None} and {r.class_size for r in got} == {3} and {r.class_id for r in got} == {1}
     assert paragraphs.passages(documents(spark, [])).count() == 0 and paragraphs.repeated(documents(spark, [])).count() == 0
+
+
+def test_a_filter_knows_its_keys_and_few_others(spark):
+    from pyspark.sql import functions as F
+
+    import numpy as np
+
+    from assayline.llm import bloom
+
+    keys = spark.range(60_000).select(F.xxhash64("id").alias("value"))
+    words = bloom.built(keys, 60_000)
+    mine = np.array([r.value for r in keys.collect()], np.int64)
+    assert bloom.known(words, mine).all() and words.nbytes <= 60_000 * 2 + 32
+    others = np.array([r.value for r in spark.range(60_000, 120_000).select(F.xxhash64("id").alias("value")).collect()], np.int64)
+    assert bloom.known(words, others).mean() < 0.01
+    assert bloom.known(bloom.built(keys, 60_000, 64), mine).all() and not bloom.fits(60_000, 64) and bloom.fits(60_000)
+    assert not bloom.known(bloom.built(keys.where("false"), 0), mine).any()
