@@ -14,6 +14,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayline import session
+
 from .components import components
 from .frames import add_columns, bounded_batches, stage, text_or_empty, tidy
 from .paragraphs import alike
@@ -204,14 +206,19 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", radi
     kept = documents.columns
     whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     rows = stage(with_fingerprint(whole).drop("text").withColumn("number", F.monotonically_increasing_id()), "rows")
-    nodes = rows.groupBy("fingerprint").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "number")).alias("own"))
-    nodes = stage(nodes, "fingerprints")
-    edges = links(nodes, "fingerprint", radius)
-    if similar:
-        edges = edges.unionByName(alike(rows.select("fingerprint", F.col("row")[text].alias("text")), "fingerprint", "text"))
-    labels = stage(components(edges), "labels")
-    least = nodes.join(labels, nodes.fingerprint == labels.node).groupBy("component").agg(F.min("own").alias("least"))
-    winners = nodes.join(labels, nodes.fingerprint == labels.node, "left_anti").select("own.number").unionByName(least.select("least.number"))
-    # The rows to leave out are the shorter list, and only numbers travel to find them.
-    gone = rows.select("number").join(stage(winners, "winners"), "number", "left_anti")
-    return rows.join(stage(gone, "gone"), "number", "left_anti").select("row.*")
+    spark = documents.sparkSession
+    path = session.scratch(spark, "gone")
+    # The rows to leave out are the shorter list, and only numbers travel to find them.  What is staged on
+    # the way, fingerprints and shingles of all texts among it, is removed as soon as the list is written.
+    with session.scratch_run(spark):
+        nodes = rows.groupBy("fingerprint").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "number")).alias("own"))
+        nodes = stage(nodes, "fingerprints")
+        edges = links(nodes, "fingerprint", radius)
+        if similar:
+            edges = edges.unionByName(alike(rows.select("fingerprint", F.col("row")[text].alias("text")), "fingerprint", "text"))
+        labels = stage(components(edges), "labels")
+        least = nodes.join(labels, nodes.fingerprint == labels.node).groupBy("component").agg(F.min("own").alias("least"))
+        winners = nodes.join(labels, nodes.fingerprint == labels.node, "left_anti").select("own.number").unionByName(least.select("least.number"))
+        rows.select("number").join(stage(winners, "winners"), "number", "left_anti").write.parquet(path)
+    gone = spark.read.schema("number bigint").parquet(path)
+    return rows.join(gone, "number", "left_anti").select("row.*")
