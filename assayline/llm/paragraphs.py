@@ -12,6 +12,8 @@ overlap, and are compared like paragraphs, with WINDOW_BANDS bands.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -82,6 +84,44 @@ def _find_task(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(counts, pa.int32()), pa.array(same, pa.binary()), bands, pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
 
+#: Bytes over which sums run at a time in ``rolled``.
+ROLL = 1 << 18
+_BASE = 0x9E3779B97F4A7C15
+_CODES = np.random.default_rng(21).integers(1, 2**63, 256, dtype=np.uint64)
+
+
+@functools.lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base, and of its inverse, modulo 2^64."""
+    one = np.ones(1, np.uint64)
+    return tuple(np.cumprod(np.concatenate([one, np.full(ROLL, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def rolled(joined: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """32-bit hashes of ascending ranges of bytes: differences of running sums of a polynomial, moved to the same power.
+
+    A range hashes alike wherever it stands.  Ranges longer than ROLL are hashed by themselves.
+    """
+    up, down = _powers()
+    data = np.frombuffer(joined, np.uint8)
+    out = np.empty(len(begins), np.uint64)
+    i = 0
+    while i < len(begins):
+        low = int(begins[i])
+        j = int(np.searchsorted(ends, low + ROLL, "right"))
+        if j <= i:
+            out[i] = xxhash.xxh64_intdigest(joined[low : int(ends[i])])
+            i += 1
+            continue
+        sums = np.zeros(int(ends[j - 1]) - low + 1, np.uint64)
+        np.cumsum(_CODES[data[low : int(ends[j - 1])]] * up[: len(sums) - 1], out=sums[1:])
+        out[i:j] = (sums[ends[i:j] - low] - sums[begins[i:j] - low]) * down[begins[i:j] - low]
+        i = j
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return (out >> np.uint64(32)).astype(np.uint32)
+
+
 def starts(hashes: np.ndarray) -> np.ndarray:
     """Where windows begin: at shingles that are less than all before them, and not more than those behind, within SPREAD."""
     n = len(hashes)
@@ -106,8 +146,7 @@ def windows(text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
-    digest = xxhash.xxh32_intdigest
-    hashes = np.array([digest(joined[a:b]) for a, b in zip((ends - sizes)[: 1 - WORDS].tolist(), ends[WORDS - 1 :].tolist())], np.uint32)
+    hashes = rolled(joined, (ends - sizes)[: 1 - WORDS], ends[WORDS - 1 :])
     at = starts(hashes)
     return words, at, hashes[at[:, None] + np.arange(WINDOW - WORDS + 1)]
 

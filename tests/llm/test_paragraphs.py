@@ -161,6 +161,27 @@ def test_windows_begin_at_the_same_words_in_any_text():
     assert not len(paragraphs.windows(b"one two")[1]) and not len(paragraphs.windows(b"")[1])
 
 
+def test_ranges_hash_alike_wherever_they_stand(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcé", k=rng.randint(1, 9))).encode() for _ in range(3000)] + [b"x" * 500]
+    hashes = {}
+    for size in (1 << 18, 300, 64):
+        monkeypatch.setattr(paragraphs, "ROLL", size)
+        paragraphs._powers.cache_clear()
+        for shift in (0, 7):
+            joined = b"#" * shift + b" ".join(words)
+            ends = shift + np.cumsum([len(w) + 1 for w in words]) - 1
+            begins = ends - [len(w) for w in words]
+            got = paragraphs.rolled(joined, begins[:-2], ends[2:]).tolist()
+            for a, b, h in zip(begins[:-2], ends[2:], got):
+                if b - a <= 64:
+                    assert hashes.setdefault(joined[a:b], h) == h
+    assert len(set(hashes.values())) > 0.999 * len(hashes)
+    paragraphs._powers.cache_clear()
+
+
 def test_passages_stand_nulls_repeats_and_empty_tables(spark):
     body = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(1, body, 0), (1, body, 0), (None, "a\nb " + body, 0), (4, None, 0), (5, "", 0)], "doc_id long, text string, begin int")
