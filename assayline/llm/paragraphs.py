@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayline import session
+
 from . import bloom
 from .components import components
 from .frames import bounded_batches, slices, stage, text_or_empty, tidy
@@ -195,7 +197,10 @@ def _window_task(repeated):
                     lines += line_of[at].tolist()
                     begins += at.tolist()
                     same += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in at.tolist()]
-                    sets += [np.unique(r).tobytes() for r in rows]
+                    rows = np.sort(rows, axis=1)
+                    packed, width = rows.tobytes(), rows.shape[1] * 4
+                    twice = (rows[:, 1:] == rows[:, :-1]).any(axis=1).tolist()
+                    sets += [np.unique(rows[i]).tobytes() if t else packed[i * width : (i + 1) * width] for i, t in enumerate(twice)]
                     bands.append(own)
                 flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
                 keyed = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW_BANDS).cast(pa.list_(pa.int64()))
@@ -371,9 +376,15 @@ def passages(documents: DataFrame, key: str = "doc_id", text: str = "text", crow
 
 def repeated(documents: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """Paragraphs and passages together: ``classes`` (``begin`` is null) and ``passages`` (``n_words`` is WINDOW)."""
+    spark = documents.sparkSession
     columns = [key, "paragraph", "begin", "n_words", "class_id", "class_size", "removed"]
-    lines = classes(documents, key, text, crowd).withColumn("begin", F.lit(None).cast("int"))
-    return lines.select(*columns).unionByName(passages(documents, key, text, crowd).withColumn("n_words", F.lit(WINDOW)).select(*columns))
+    path = session.scratch(spark, "lines")
+    # What the lines needed is removed before windows are looked for.
+    with session.scratch_run(spark):
+        lines = classes(documents, key, text, crowd).withColumn("begin", F.lit(None).cast("int")).select(*columns)
+        schema = lines.schema
+        lines.write.parquet(path)
+    return spark.read.schema(schema).parquet(path).unionByName(passages(documents, key, text, crowd).withColumn("n_words", F.lit(WINDOW)).select(*columns))
 
 
 def _without(text: Column, lines: Column) -> Column:
