@@ -110,5 +110,27 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids",
     return add_columns(df, [F.col(f"`{ids}`")], task, f"`{decoded}` binary")
 
 
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids", count: str = "n_tokens", decodes: str = "decodes") -> DataFrame:
+    """``encode``, and whether ``decode`` gives the bytes of the text again (``decodes``), in one task.
+
+    Encoding and decoding one after the other would hold two workers with a vocabulary each per task.
+    """
+    with open(ranks_path, "rb") as file:
+        ranks = df.sparkSession.sparkContext.broadcast(file.read())
+
+    def task(columns):
+        enc = encoding(ranks.value, pattern)
+        for (texts,) in columns:
+            packed, counts, same = [], [], []
+            for t in texts.to_pylist():
+                own = encode_text(enc, t)
+                packed.append(np.array(own, "<u4").tobytes())
+                counts.append(len(own))
+                same.append(enc.decode_bytes(np.frombuffer(packed[-1], "<u4").tolist()) == t.encode())
+            yield [pa.array(packed, pa.binary()), pa.array(counts, pa.int64()), pa.array(same, pa.bool_())]
+
+    return add_columns(df, [text_or_empty(text)], task, f"`{ids}` binary, `{count}` bigint, `{decodes}` boolean")
+
+
 def digest(column: Column) -> Column:
     return F.sha2(column, 256)

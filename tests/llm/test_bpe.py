@@ -54,3 +54,17 @@ def test_bad_ids_decode_to_null_and_names_may_clash(spark):
 
 def test_empty_table(spark):
     assert bpe.encode(documents(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_round_trip_in_one_task_equals_encode_and_decode(spark):
+    import public_tokenizers
+    from llm.fixtures import documents
+
+    from assayline.llm import bpe
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    df = documents(spark, [None, "", "one two", "é漢𝄞 \n\n  x", "a b " * 30_000, " " * 10_000, "one two"])
+    got = {r.doc_id: (bytes(r.token_ids), r.n_tokens, r.decodes) for r in bpe.round_trip(df, ranks, pattern).collect()}
+    both = bpe.decode(bpe.encode(df, ranks, pattern), ranks, pattern).collect()
+    assert got == {r.doc_id: (bytes(r.token_ids), r.n_tokens, bytes(r.decoded) == (r.text or "").encode()) for r in both}
+    assert all(x[2] for x in got.values())
