@@ -47,8 +47,7 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token ids of each document, and whether they decode to its text."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    decoded = bpe.decode(bpe.encode(rows, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", "n_tokens", "token_ids", (F.col("decoded") == F.col("text").cast("binary")).alias("decodes"))
+    return bpe.round_trip(rows, ranks, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "token_ids", "decodes")
 
 
 STAGES = [
