@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from ..functions.identity import tuple_hash
 
@@ -38,9 +39,21 @@ def invalid_codes(df: DataFrame, dictionaries: dict[str, DataFrame], catalogue_n
 
 
 def fk_violations(df: DataFrame, references: dict[str, DataFrame], key: str = "id") -> DataFrame:
-    """Foreign keys that point nowhere, with the number of rows that hold them."""
-    values = _column_values(df, list(references)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return values.join(_domain(references, key), ["column", "value"], "left_anti")
+    """Foreign keys that point nowhere, with the number of rows that hold them.
+
+    Keys are counted and looked up column by column in their own type, and spelled as text only where they
+    are reported: a task holds a few bytes per key, not the names of column and key as text.
+    """
+    found: DataFrame | None = None
+    for column, reference in references.items():
+        kinds = df.schema[column].dataType, reference.schema[key].dataType
+        plain = kinds[0] == kinds[1] and isinstance(kinds[0], (IntegralType, StringType))
+        value, known = (c if plain else c.cast("string") for c in (F.col(column), F.col(key)))
+        counted = df.select(value.alias("value")).filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        lost = counted.join(reference.select(known.alias("value")), "value", "left_anti")
+        part = lost.select(F.lit(column).alias("column"), F.col("value").cast("string").alias("value"), "n")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -192,6 +192,16 @@ def test_invalid_codes(spark):
     assert rows(out) == [("2", "b", "B"), ("y", "a", "A")]
 
 
+def test_foreign_keys_are_counted_in_their_own_type(spark):
+    df = spark.createDataFrame([(1, "a", 1), (9, "b", 2), (9, None, 2), (None, "a", 7)], "n long, s string, d int")
+    known = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "n long, s string")
+    references = {"n": known.select(F.col("n").alias("id")), "s": known.select(F.col("s").alias("id")), "d": known.select(F.col("n").alias("id"))}
+    found = quality.fk_violations(df, references)
+    assert rows(found) == [("d", "2", 2), ("d", "7", 1), ("n", "9", 2), ("s", "b", 1)]
+    # No row carries the name of its column through a shuffle.
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_domain_and_not_null(spark):
     df = frame(spark, "a string, b string", ("x", None), ("q", "1"), (None, "1"))
     assert rows(quality.domain_violations(df, "a", ["x"])) == [("q", 1)]
