@@ -136,3 +136,9 @@ def test_a_typed_number_is_spelled_like_its_text(spark):
     df = spark.createDataFrame([(v,) for v in values], "c double")
     odd = df.select("c", number_text(F.col("c")).alias("a"), canonical_number(F.col("c")).alias("b")).filter("not a <=> b")
     assert [tuple(r) for r in odd.collect()] == []
+
+
+def test_texts_without_blanks_at_the_ends_are_not_searched_for_them(spark):
+    df = spark.createDataFrame([("Plain",), ("\tx ",), (" é ",), ("é",), ("",), (None,)], "w string").select(text.strip_text(F.col("w")).alias("s"))
+    assert [r.s for r in df.collect()] == ["Plain", "x", "é", "é", "", None]
+    assert "CASE WHEN" in df._jdf.queryExecution().analyzed().toString().split("trim(")[0]

@@ -627,3 +627,20 @@ def test_a_local_session_without_a_shared_folder_gets_its_own(spark, monkeypatch
 
     first = session.shared_folder(Session())
     assert first == session.shared_folder(Session()) and first != session.shared_folder(spark)
+
+
+def test_what_the_loads_stage_is_compact_and_only_written_when_asked_for(spark, monkeypatch):
+    written, keep = [], loads.materialise
+    monkeypatch.setattr(loads, "materialise", lambda df, name, *codec: written.append((name, *codec)) or keep(df, name, *codec))
+    raw = spark.createDataFrame([("S1", "P1", "1", "a.csv", "a.csv", "vmpr", 1), ("S2", "P1", "x", "a.csv", "a.csv", "vmpr", 2)],
+                                "sampid string, paramcodebaseparam string, resval string, file string, file_id string, filetype string, measurement_nr long")
+    cleaned = loads.stage_clean(raw, REGISTRY)
+    assert rows(cleaned.malformed, "column", "value", "n") == [("resval", "x", 1)]
+    one = cleaned.rows.where("sampid = 's1'").select("samplehash", F.lit("id1").alias("id"))
+    parts = loads.measurements_of(cleaned, REGISTRY, one)
+    assert rows(parts.unmatched, "sampid", "measurement_nr") == [("s2", 2)]
+    assert rows(parts.unmatched, "samplehash") == rows(cleaned.rows.where("sampid = 's2'"), "samplehash")
+    assert written == [("clean", "zstd")]
+    assert rows(parts.core, "sample_core_id", "measurement_nr") == [("id1", 1)]
+    assert parts.rest.columns == ["sample_core_id", "file_id", "measurement_nr", "columnname", "value"]
+    assert written == [("clean", "zstd"), ("measurements", "zstd")]
