@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from assayline.operators import cleaning, compare, dedup, dims, grains, inserts, numbering, product_rules, quality, ranking, reshape
+from assayline.session import settings
 
 
 def frame(spark, schema, *data):
@@ -316,3 +317,19 @@ PLANT = "plant commodities (rpcs)"
 ])
 def test_product_group(one, kind, l2, l3, l4, l5, want):
     assert one(product_rules.product_group, kind, l2, l3, l4, l5) == want
+
+
+def test_sides_of_a_comparison_are_shuffled_once(spark):
+    left = frame(spark, "file string, nr int, v string, w int", ("a", 1, "x", 1), ("a", 1, "x", 1), (None, 2, "y", 2), ("b", 3, None, 3))
+    right = frame(spark, "file string, nr long, v string, w int", ("a", 1, "z", 1), (None, 2, "y", 2), ("c", 4, "q", None))
+    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        cells = compare.differing_cells(left, right, ["file", "nr"], ["v", "w"])
+        plan = cells._jdf.queryExecution().executedPlan().toString()
+        found = rows(cells)
+    assert plan.count("Exchange") == 2
+    assert found == [("a", 1, "v", "x", "z"), ("b", 3, "w", "3", None), ("c", 4, "v", None, "q")]
+
+
+def test_suspects_hold_all_rows_of_repeated_keys(spark):
+    df = frame(spark, "k string, f string, v int", ("a", "x", 1), ("a", "x", 2), ("a", "y", 3), (None, "x", 4), (None, "x", 5), ("b", "x", 6))
+    assert rows(dedup.suspects(df, ["k", "f"]), "v") == [(1,), (2,), (4,), (5,)]
