@@ -3,27 +3,38 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from .frames import add_columns, text_or_empty
 
-#: Words whose ids a worker remembers; it starts anew beyond.  This bounds memory, not the result.
+#: Words whose ids a worker remembers, those of two halves; the older half goes.  This bounds memory, not the result.
 REMEMBERED = 500_000
 
 # Where cutting before a blank, line feed, comma or stop could part what the split keeps together.
-_unsafe = re.compile(r"\s[ \n]|[\W_][.,]|\0")
-_PLAIN = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \n,."
-_PAIRS = [a + b for a in " \n" for b in " \n,."] + [a + b for a in ",." for b in ",."]
+_SPACE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNSAFE = rf"[{_SPACE}][ \n]|[^\pL\pN][.,]"
+_WORD_START = rf"([^{_SPACE}]) "
 _word_start = re.compile(r"(?<=\S)(?= )")
 #: Words that are encoded as one text, in a row.
 ROW = 2000
 
+#: The split that the plain words rely on.
+_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+_OPTIONS = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+# One match of that split, or a line feed and one.
+_plain = re.compile(r"[ \n][A-Za-zÀ-ÖØ-öø-ÿ]+")
+_printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Characters that stand for bytes in a byte-level vocabulary; a zero byte marks an end here.
+_LETTERS = dict(zip(_printed, _printed)) | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _printed)} | {0: 0}
+
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(definition: str) -> Tokenizer:
@@ -34,41 +45,78 @@ def tokenizer(definition: str) -> Tokenizer:
     return made
 
 
+def plain_words(tok: Tokenizer) -> Tokenizer | None:
+    """The same merges for words in the vocabulary's own letters, parted by zero bytes; None where another split holds.
+
+    It has no cache, since no word comes twice.
+    """
+    made = json.loads(tok.to_str())
+    model, split = made["model"], made["pre_tokenizer"] or {}
+    if made["normalizer"] or model["type"] != "BPE" or any(model.get(k) for k in _OPTIONS) or any(split.get(k) != v for k, v in _SPLIT.items()):
+        return None
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    words = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0))
+    words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\0")
+    return words
+
+
 class Words:
     """Packed ids by piece of text.
 
     Pieces are cut where no match of the byte-level split can reach across: before white space
     that follows something else, and between a letter or digit and the punctuation after it.  So
     they encode on their own, and as well in a row, as long as each begins with white space and
-    the one before does not end with it.
+    the one before does not end with it.  Words of letters alone need no split.
     """
 
     def __init__(self, tok: Tokenizer):
-        self.tok = tok
+        self.tok, self.words = tok, plain_words(tok)
         self.ids: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
         vocabulary = tok.get_vocab()
         # A token of a byte-level vocabulary has one character for each byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.sizes[number] = len(token)
 
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.ids) > REMEMBERED:
-            self.ids = {"": b""}
-        fresh = [p for p in pieces if p not in self.ids]
-        for p in fresh:
-            if p[0] not in " \n" or p[-1].isspace():
+    def of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of these pieces, which differ."""
+        found = list(map(self.ids.get, pieces))
+        fresh = [i for i, x in enumerate(found) if x is None]
+        if fresh:
+            if len(self.ids) > REMEMBERED // 2:
+                self.ids, self.before = {"": b""}, self.ids
+            self._learn([pieces[i] for i in fresh])
+            for i in fresh:
+                found[i] = self.ids[pieces[i]]
+        return found
+
+    def _learn(self, pieces: list[str]) -> None:
+        plain, rest = [], []
+        for p in pieces:
+            if p in self.before:
+                self.ids[p] = self.before[p]
+            elif self.words is not None and _plain.fullmatch(p):
+                plain.append(p)
+            elif p[0] not in " \n" or p[-1].isspace():
                 self.ids[p] = np.array(self.tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        rest = [p for p in fresh if p not in self.ids]
+            else:
+                rest.append(p)
+        for begin in range(0, len(plain), ROW):
+            row = plain[begin : begin + ROW]
+            self._row(row, self.words, "\0".join(row).replace("\n", "\n\0").encode().decode("latin-1").translate(_LETTERS))
         for begin in range(0, len(rest), ROW):
             row = rest[begin : begin + ROW]
-            ids = np.array(self.tok.encode_batch_fast(["".join(row)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.cumsum([len(p.encode()) for p in row])
-            cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), stops) + 1).tolist()
-            packed, at = ids.tobytes(), 0
-            for p, stop in zip(row, cuts):
-                self.ids[p] = packed[4 * at : 4 * stop]
-                at = stop
+            self._row(row, self.tok, "".join(row))
+
+    def _row(self, row: list[str], tok: Tokenizer, text: str) -> None:
+        ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in row])
+        cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), stops) + 1) * 4
+        packed, at = ids.tobytes(), 0
+        for p, stop in zip(row, cuts.tolist()):
+            self.ids[p] = packed[at:stop]
+            at = stop
 
 
 @functools.lru_cache(maxsize=2)
@@ -76,18 +124,36 @@ def memory(definition: str) -> Words:
     return Words(tokenizer(definition))
 
 
-def pieces_of(text: str) -> list[str]:
-    # Most texts show with plain searches that no cut is unsafe.
-    if not (text.isascii() and not text.encode().translate(None, _PLAIN) and not any(map(text.__contains__, _PAIRS))) and _unsafe.search(text):
-        return _word_start.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0")
+def pieces_of(texts: pa.Array) -> pa.ListArray:
+    """The pieces of each text, none of them null."""
+    if pc.any(pc.match_substring(texts, "\0")).as_py():
+        return pa.array([_word_start.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    marked = texts
+    for c in " \n,.":
+        marked = pc.replace_substring(marked, c, f"\0{c}")
+    unsafe = pc.match_substring_regex(texts, _UNSAFE)
+    if pc.any(unsafe).as_py():
+        marked = pc.replace_with_mask(marked, unsafe, pc.replace_substring_regex(texts.filter(unsafe), _WORD_START, "\\1\0 "))
+    return pc.split_pattern(marked, "\0")
+
+
+def packed(known: Words, texts: pa.Array, end: bytes) -> pa.Array:
+    """Little-endian 32-bit ids of each text, none of them null, with ``end`` behind them."""
+    split = pieces_of(texts)
+    offsets = split.offsets.to_numpy()
+    coded = split.flatten().dictionary_encode()
+    pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    values = pa.array([*known.of(pieces), end], pa.binary())
+    # Each text's pieces stand together, so their bytes do; behind the last one comes the end.
+    codes = np.insert(coded.indices.to_numpy(), offsets[1:] - offsets[0], len(pieces))
+    found = values.take(pa.array(codes))
+    stops = np.frombuffer(found.buffers()[1], np.int32)[: len(codes) + 1][offsets - offsets[0] + np.arange(len(offsets))]
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(stops.astype(np.int32)), found.buffers()[2]])
 
 
 def pack(known: Words, texts: list[str], end: bytes) -> list[bytes]:
-    """Little-endian 32-bit ids of each text, with ``end`` behind them."""
-    split = [pieces_of(t) for t in texts]
-    known.learn(set().union(*split))
-    return [b"".join(map(known.ids.__getitem__, pieces)) + end for pieces in split]
+    """``packed`` of a list."""
+    return packed(known, pa.array(texts, pa.string()), end).to_pylist()
 
 
 def encode(df: DataFrame, definition_path: str, end_id: int | None, text: str = "text", ids: str = "token_ids") -> DataFrame:
@@ -103,6 +169,6 @@ def encode(df: DataFrame, definition_path: str, end_id: int | None, text: str =
     def task(columns):
         known = memory(definition.value)
         for (texts,) in columns:
-            yield [pa.array(pack(known, texts.to_pylist(), end), pa.binary())]
+            yield [packed(known, texts.cast(pa.string()), end)]
 
     return add_columns(df, [text_or_empty(text)], task, f"`{ids}` binary")

@@ -99,3 +99,32 @@ def test_remembering_fewer_words_changes_nothing(monkeypatch, plain):
     for t in texts:
         packed = tokens.pack(known, [t], b"")[0]
         assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == plain(t)[:-1]
+
+
+def test_texts_of_any_kind_encode_as_the_library_does(plain):
+    known = tokens.Words(tokens.tokenizer(open(DEFINITION, encoding="utf-8").read()))
+    assert known.words is not None
+    texts = [
+        *(t or "" for t in TEXTS[:-3]), "Größe\nÑandú, naïve. x", "a\0 b\0\0c , d", "\0", "end.\n\nNew ###, 'tis don't I'LL 12.5 x1 _a.", " 　 a  b\x85\nc", ", .", "\n", "é.è,ù\nß × ÷", "Ⅳ.² 漢. x", "ª º µ\nª",
+    ]
+    got = tokens.pack(known, texts, b"\2\0\0\0")
+    assert got == [np.array(plain(t), "<u4").tobytes() for t in texts]
+    assert tokens.pack(known, texts[3:5], b"") == [g[:-4] for g in got[3:5]] and tokens.pack(known, [], b"") == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t,.'!_\0\x1c\x85\xa0 aZéßª²×sll1漢Ⅳ́")), max_size=4))
+def test_any_cut_is_safe(plain, texts):
+    known = tokens.memory(open(DEFINITION, encoding="utf-8").read())
+    assert tokens.pack(known, texts, b"\2\0\0\0") == [np.array(plain(t), "<u4").tobytes() for t in texts]
+
+
+def test_words_in_use_stay_known_when_many_have_come(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    known = tokens.Words(tokens.tokenizer(open(DEFINITION, encoding="utf-8").read()))
+    learnt = []
+    row = known._row
+    monkeypatch.setattr(known, "_row", lambda pieces, *rest: (learnt.extend(pieces), row(pieces, *rest)))
+    for i in range(40):
+        tokens.pack(known, [f"x the same words come again word{i}a word{i}b word{i}c"], b"")
+    assert learnt.count(" same") == 1 and len(known.ids) <= 100
