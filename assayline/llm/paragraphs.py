@@ -37,10 +37,64 @@ WINDOW, SPREAD, WINDOW_BANDS = 20, 6, 2
 _seeds = np.random.default_rng(20).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
-def paragraphs_of(text: bytes) -> list[tuple[int, list[bytes]]]:
-    """Line number and lower-cased words of each paragraph; lines are counted from zero."""
-    split = ((i, line.lower().split()) for i, line in enumerate(text.split(b"\n")))
-    return [(i, words) for i, words in split if len(words) >= MIN_WORDS]
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+class Laid:
+    """The lower-cased words of some texts in a row, one blank behind each, and where they stand.
+
+    ``text`` and ``line`` are those of each word, lines counted from zero in each text; ``first`` is
+    the first word of each text.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        data = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+        blank = _BLANK[data]
+        outside = np.ones(len(data) + 2, bool)
+        outside[1:-1] = blank
+        edges = np.flatnonzero(outside[1:] != outside[:-1])
+        begins, ends = edges[0::2], edges[1::2]
+        kept = ~blank
+        kept[ends[ends < len(data)]] = True
+        joined = data[kept]
+        self.ends = np.cumsum(ends - begins + 1) - 1
+        self.begins = self.ends - (ends - begins)
+        joined[self.ends[self.ends < len(joined)]] = 32
+        self.joined = joined.tobytes()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        stands, breaks = np.cumsum(sizes) - sizes, np.flatnonzero(data == 10)
+        self.text = np.searchsorted(stands, begins, "right") - 1
+        self.line = np.searchsorted(breaks, begins) - np.searchsorted(breaks, stands)[self.text]
+        self.first = np.searchsorted(begins, stands)
+
+    def hashes(self) -> np.ndarray:
+        """Of the shingle at each word but the last four, whatever text it ends in."""
+        n = max(0, len(self.begins) - WORDS + 1)
+        return rolled(self.joined, self.begins[:n], self.ends[len(self.ends) - n :])
+
+    def digests(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Of the words from each first one to its last one."""
+        return [xxhash.xxh3_128_digest(self.joined[a:b]) for a, b in zip(self.begins[first].tolist(), self.ends[last].tolist())]
+
+
+def paragraphs_of(laid: Laid) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of each paragraph."""
+    new = np.ones(len(laid.text), bool)
+    new[1:] = (laid.text[1:] != laid.text[:-1]) | (laid.line[1:] != laid.line[:-1])
+    first = np.flatnonzero(new)
+    counts = np.diff(first, append=len(new))
+    return first[counts >= MIN_WORDS], counts[counts >= MIN_WORDS]
+
+
+def sets_of(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of shingles of runs of words, ascending, one behind the other, and where each begins and the last ends."""
+    sizes = counts - WORDS + 1
+    run = np.repeat(np.arange(len(first)), sizes)
+    at = np.arange(len(run)) + (first - np.cumsum(sizes) + sizes)[run]
+    ranked = np.sort(run.astype(np.uint64) << np.uint64(32) | hashes[at])
+    ranked = ranked[np.diff(ranked, prepend=~ranked[:1]) != 0]
+    return ranked.astype(np.uint32), np.searchsorted(ranked, np.arange(len(first) + 1, dtype=np.uint64) << np.uint64(32))
 
 
 def shingles(words: list[bytes]) -> np.ndarray:
@@ -56,9 +110,15 @@ def bands_of(sets: list[np.ndarray], bands: int = BANDS) -> np.ndarray:
     """One key per band for each set."""
     if not sets:
         return np.zeros((0, bands), np.int64)
-    flat = np.concatenate(sets).astype(np.uint64)
-    begins = np.cumsum([0, *map(len, sets[:-1])])
-    least = np.empty((len(sets), bands * ROWS), np.uint64)
+    return flat_bands(np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])]), bands)
+
+
+def flat_bands(flat: np.ndarray, begins: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """``bands_of`` sets that stand one behind the other, none empty."""
+    if not len(begins):
+        return np.zeros((0, bands), np.int64)
+    flat = flat.astype(np.uint64)
+    least = np.empty((len(begins), bands * ROWS), np.uint64)
     for k, (a, b) in enumerate(_seeds[: bands * ROWS]):
         mixed = flat * a + b
         mixed ^= mixed >> np.uint64(29)
@@ -74,16 +134,14 @@ def _find_task(batches):
     schema = pa.schema([("key", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("shingles", pa.binary())])
     for batch in batches:
         for part in slices(batch, 1):
-            keys, lines, counts, same, sets = [], [], [], [], []
-            for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                for line, words in paragraphs_of(text):
-                    keys.append(key)
-                    lines.append(line)
-                    counts.append(len(words))
-                    same.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                    sets.append(shingles(words))
-            bands = pa.FixedSizeListArray.from_arrays(pa.array(bands_of(sets).ravel()), BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(counts, pa.int32()), pa.array(same, pa.binary()), bands, pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            laid = Laid(part.column(1).cast(pa.binary()).to_pylist())
+            first, counts = paragraphs_of(laid)
+            flat, stops = sets_of(laid.hashes(), first, counts)
+            bands = pa.FixedSizeListArray.from_arrays(pa.array(flat_bands(flat, stops[:-1]).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            sets = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((stops * 4).astype(np.int32)), pa.py_buffer(flat)])
+            same = pa.array(laid.digests(first, first + counts - 1), pa.binary())
+            keys, lines = part.column(0).take(pa.array(laid.text[first])), pa.array(laid.line[first].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([keys, lines, pa.array(counts.astype(np.int32)), same, bands, sets], schema=schema)
 
 
 #: Bytes over which sums run at a time in ``rolled``.
@@ -124,33 +182,37 @@ def rolled(joined: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def starts(hashes: np.ndarray) -> np.ndarray:
-    """Where windows begin: at shingles that are less than all before them, and not more than those behind, within SPREAD."""
-    n = len(hashes)
-    if n < WINDOW - WORDS + 1:
-        return np.zeros(0, np.int64)
-    mixed = hashes * np.uint32(0x9E3779B1)
-    padded = np.full(n + 2 * SPREAD, 0xFFFFFFFF, np.uint32)
-    padded[SPREAD : SPREAD + n] = mixed
+def starts(laid: Laid, hashes: np.ndarray) -> np.ndarray:
+    """Words at which windows begin: their shingles are less than all before them, and not more than those behind, within SPREAD.
+
+    Texts are laid out with so much room between them that shingles of one do not see those of another.
+    """
+    own = np.flatnonzero(laid.text[: len(hashes)] == laid.text[len(laid.text) - len(hashes) :])
+    place = own + SPREAD * (laid.text[own] + 1)
+    padded = np.full(len(laid.text) + SPREAD * (len(laid.first) + 2), 0xFFFFFFFF, np.uint32)
+    padded[place] = hashes[own] * np.uint32(0x9E3779B1)
+    n = len(padded) - 2 * SPREAD
+    mixed = padded[SPREAD : SPREAD + n]
     least = np.full(n, True)
     for d in range(1, SPREAD + 1):
         least &= mixed < padded[SPREAD - d : SPREAD - d + n]
         least &= mixed <= padded[SPREAD + d : SPREAD + d + n]
-    at = np.flatnonzero(least)
-    return at[at + WINDOW - WORDS < n]
+    at = own[least[place - SPREAD]]
+    at = at[at + WINDOW <= len(laid.text)]
+    return at[laid.text[at + WINDOW - 1] == laid.text[at]]
+
+
+def windows_of(laid: Laid) -> tuple[np.ndarray, np.ndarray]:
+    """The first words of all windows, and their shingle hashes, a row each."""
+    hashes = laid.hashes()
+    at = starts(laid, hashes)
+    return at, hashes[at[:, None] + np.arange(WINDOW - WORDS + 1)]
 
 
 def windows(text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Lower-cased words of a text, where its windows begin, and their shingle hashes, a row each."""
-    words = text.lower().split()
-    if len(words) < WINDOW:
-        return words, np.zeros(0, np.int64), np.zeros((0, WINDOW - WORDS + 1), np.uint32)
-    joined = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    hashes = rolled(joined, (ends - sizes)[: 1 - WORDS], ends[WORDS - 1 :])
-    at = starts(hashes)
-    return words, at, hashes[at[:, None] + np.arange(WINDOW - WORDS + 1)]
+    laid = Laid([text])
+    return laid.joined.split(), *windows_of(laid)
 
 
 def window_bands(rows: np.ndarray) -> np.ndarray:
@@ -170,8 +232,8 @@ def _value_task(batches):
     """Texts -> the band keys of all windows."""
     for batch in batches:
         for part in slices(batch, 0):
-            found = [window_bands(windows(text)[2]).ravel() for text in part.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["value"])
+            found = window_bands(windows_of(Laid(part.column(0).cast(pa.binary()).to_pylist()))[1])
+            yield pa.RecordBatch.from_arrays([pa.array(found.ravel())], names=["value"])
 
 
 def _window_task(repeated):
@@ -183,29 +245,23 @@ def _window_task(repeated):
     def run(batches):
         for batch in batches:
             for part in slices(batch, 1):
-                keys, lines, begins, same, sets, bands = [], [], [], [], [], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                    words, at, rows = windows(text)
-                    own = window_bands(rows)
-                    if repeated is not None and len(at):
-                        keep = bloom.known(repeated.value, own.ravel()).reshape(own.shape).any(axis=1)
-                        at, rows, own = at[keep], rows[keep], own[keep]
-                    if not len(at):
-                        continue
-                    line_of = np.repeat(np.arange(text.count(b"\n") + 1), [len(x.split()) for x in text.split(b"\n")])
-                    keys += [key] * len(at)
-                    lines += line_of[at].tolist()
-                    begins += at.tolist()
-                    same += [xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])) for i in at.tolist()]
-                    rows = np.sort(rows, axis=1)
-                    packed, width = rows.tobytes(), rows.shape[1] * 4
-                    twice = (rows[:, 1:] == rows[:, :-1]).any(axis=1).tolist()
-                    sets += [np.unique(rows[i]).tobytes() if t else packed[i * width : (i + 1) * width] for i, t in enumerate(twice)]
-                    bands.append(own)
-                flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
-                keyed = pa.FixedSizeListArray.from_arrays(pa.array(flat), WINDOW_BANDS).cast(pa.list_(pa.int64()))
+                laid = Laid(part.column(1).cast(pa.binary()).to_pylist())
+                at, rows = windows_of(laid)
+                bands = window_bands(rows)
+                if repeated is not None:
+                    keep = bloom.known(repeated.value, bands.ravel()).reshape(bands.shape).any(axis=1)
+                    at, rows, bands = at[keep], rows[keep], bands[keep]
+                rows = np.sort(rows, axis=1)
+                packed, width = rows.tobytes(), rows.shape[1] * 4
+                twice = (rows[:, 1:] == rows[:, :-1]).any(axis=1).tolist()
+                sets = [np.unique(rows[i]).tobytes() if t else packed[i * width : (i + 1) * width] for i, t in enumerate(twice)]
+                text = laid.text[at]
+                keyed = pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), WINDOW_BANDS).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(begins, pa.int32()), pa.array(same, pa.binary()), keyed, pa.array(sets, pa.binary())],
+                    [
+                        part.column(0).take(pa.array(text)), pa.array(laid.line[at].astype(np.int32)), pa.array((at - laid.first[text]).astype(np.int32)),
+                        pa.array(laid.digests(at, at + WINDOW - 1), pa.binary()), keyed, pa.array(sets, pa.binary()),
+                    ],
                     names=["key", "paragraph", "begin", "same", "bands", "shingles"])
 
     return run

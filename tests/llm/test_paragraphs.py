@@ -205,3 +205,27 @@ def test_a_filter_knows_its_keys_and_few_others(spark):
     assert bloom.known(words, others).mean() < 0.01
     assert bloom.known(bloom.built(keys, 60_000, 64), mine).all() and not bloom.fits(60_000, 64) and bloom.fits(60_000)
     assert not bloom.known(bloom.built(keys.where("false"), 0), mine).any()
+
+
+def test_texts_laid_out_together_are_those_laid_out_alone():
+    rng = random.Random(4)
+    rows = [(t or "").encode() for t in texts(6, 60)] + ["".join(rng.choices("ab \n\té", k=rng.randint(0, 300))).encode() for _ in range(100)]
+    rows += [b"", b"a b c d", b"x\x0b\x0c\r\x1cY " * 30, b"\n" + b"w " * 19 + b"\n" + b"w " * 20, b" \n "]
+    rng.shuffle(rows)
+    laid = paragraphs.Laid(rows)
+    at, hashes = paragraphs.windows_of(laid)
+    first, counts = paragraphs.paragraphs_of(laid)
+    flat, stops = paragraphs.sets_of(laid.hashes(), first, counts)
+    for i, row in enumerate(rows):
+        words = row.lower().split()
+        assert laid.joined[laid.begins[laid.first[i]] :].startswith(b" ".join(words)) if words else i not in laid.text
+        _, alone, own = paragraphs.windows(row)
+        mine = laid.text[at] == i
+        assert (at[mine] - laid.first[i]).tolist() == alone.tolist() and hashes[mine].tolist() == own.tolist()
+        lines = [(k, x.lower().split()) for k, x in enumerate(row.split(b"\n")) if len(x.split()) >= paragraphs.MIN_WORDS]
+        here = [j for j in range(len(first)) if laid.text[first[j]] == i]
+        assert [(laid.line[first[j]], counts[j]) for j in here] == [(k, len(x)) for k, x in lines]
+        for j, (_, x) in zip(here, lines):
+            got = flat[stops[j] : stops[j + 1]].tolist()
+            assert got == sorted(set(got)) and len(got) == len({tuple(x[k : k + 5]) for k in range(len(x) - 4)})
+    assert len(at) > 50 and len(first) > 50
