@@ -15,7 +15,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 
 from .frames import add_columns, text_or_empty
 
-#: Words whose ids a worker remembers, those of two halves; the older half goes.  This bounds memory, not the result.
+#: Words whose ids a worker remembers, half of them for having come again.  This bounds memory, not the result.
 REMEMBERED = 500_000
 
 # Where cutting before a blank, line feed, comma or stop could part what the split keeps together.
@@ -71,8 +71,9 @@ class Words:
 
     def __init__(self, tok: Tokenizer):
         self.tok, self.words = tok, plain_words(tok)
+        # Pieces that came again, and those that came once; the latter go where too many are.
         self.ids: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
         vocabulary = tok.get_vocab()
         # A token of a byte-level vocabulary has one character for each byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -83,23 +84,30 @@ class Words:
         """The ids of these pieces, which differ."""
         found = list(map(self.ids.get, pieces))
         fresh = [i for i, x in enumerate(found) if x is None]
-        if fresh:
-            if len(self.ids) > REMEMBERED // 2:
-                self.ids, self.before = {"": b""}, self.ids
-            self._learn([pieces[i] for i in fresh])
-            for i in fresh:
-                found[i] = self.ids[pieces[i]]
+        if len(self.ids) > REMEMBERED // 2:
+            self.ids, self.once = {"": b""}, self.ids
+        unknown = []
+        for i in fresh:
+            p = pieces[i]
+            x = self.once.pop(p, None)
+            if x is None:
+                unknown.append(i)
+            else:
+                found[i] = self.ids[p] = x
+        if len(self.once) > REMEMBERED // 2:
+            self.once = {}
+        self._learn([pieces[i] for i in unknown])
+        for i in unknown:
+            found[i] = self.once[pieces[i]]
         return found
 
     def _learn(self, pieces: list[str]) -> None:
         plain, rest = [], []
         for p in pieces:
-            if p in self.before:
-                self.ids[p] = self.before[p]
-            elif self.words is not None and _plain.fullmatch(p):
+            if self.words is not None and _plain.fullmatch(p):
                 plain.append(p)
             elif p[0] not in " \n" or p[-1].isspace():
-                self.ids[p] = np.array(self.tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+                self.once[p] = np.array(self.tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 rest.append(p)
         for begin in range(0, len(plain), ROW):
@@ -115,7 +123,7 @@ class Words:
         cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), stops) + 1) * 4
         packed, at = ids.tobytes(), 0
         for p, stop in zip(row, cuts.tolist()):
-            self.ids[p] = packed[at:stop]
+            self.once[p] = packed[at:stop]
             at = stop
 
 
